@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["monitoring", "shaping", "statistics", "registry"]
+_MODULES = ["monitoring", "shaping", "statistics", "registry", "learning"]
 
 
 def _load():
