@@ -7,11 +7,22 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import hash_u
 from tessera.operators.balance import smote
 from tessera.operators.neighbours import knn_classify
+from tessera.operators import metrics as MM
+from tessera.operators import models as MD
+from tessera.operators.explain import local_surrogate, shapley_sampled
+from tessera.operators.sampling import sample_fixed, stratified_split
+from tessera.operators.scaling import fit_scaler
+from tessera.operators.tuning import tune_gbt
 from tessera.plans.common import rounded, table
 
 QUERY_SHARE = 0.2
 K_VOTE = 7
 K_SMOTE = 5
+N_DIM = 64
+TUNE_TRIALS = 4       # the operator's default is 50; the check run uses 4 trials
+N_PERM = 8
+LOCAL_ROWS = 3
+SURROGATE_SAMPLES = 1000
 
 
 def _emb(spark, sf):
@@ -39,9 +50,96 @@ def q_smote(spark, sf):
     return rounded(long)
 
 
+# ------------------------------------------------------------- model fits
+# Binary target on embeddings: label < 5.  Split 70/15/15 by hashed id.
+
+
+def model_data(spark, sf):
+    e = _emb(spark, sf).withColumn("y", (F.col("label") < 5).cast("int"))
+    e = stratified_split(e, "vec_id", "y")
+    return MD.features_vector(e, "embedding")
+
+
+def _train_val(spark, sf):
+    d = model_data(spark, sf)
+    return d.where(F.col("split") == "train"), d.where(F.col("split") == "val")
+
+
+def _eval(model, val):
+    return rounded(MD.evaluate_model(model, val, "y"))
+
+
+def q_fit_gbt(spark, sf):
+    tr, va = _train_val(spark, sf)
+    return _eval(MD.fit_gbt(tr, "y"), va)
+
+
+def q_fit_tree(spark, sf):
+    tr, va = _train_val(spark, sf)
+    return _eval(MD.fit_tree(tr, "y"), va)
+
+
+def q_fit_mlp(spark, sf):
+    tr, va = _train_val(spark, sf)
+    return _eval(MD.fit_mlp(tr, N_DIM, "y"), va)
+
+
+def q_fit_svm_rff(spark, sf):
+    tr, va = _train_val(spark, sf)
+    return _eval(MD.fit_svm_rff(tr, N_DIM, "y"), va)
+
+
+def q_model_compare(spark, sf):
+    tr, va = _train_val(spark, sf)
+    rows = [MD.evaluate_model(m, va, "y") for m in
+            (MD.fit_tree(tr, "y"), MD.fit_mlp(tr, N_DIM, "y"), MD.fit_svm_rff(tr, N_DIM, "y"), MD.fit_gbt(tr, "y"))]
+    q = va.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"), "y")
+    r = tr.select(F.col("vec_id").alias("rid"), F.col("embedding").alias("vec"), F.col("y").alias("label"))
+    knn = knn_classify(q, r, K_VOTE, "qid", "rid", "vec", "label").join(q.select("qid", "y"), on="qid")
+    knn = knn.withColumns({"prediction": F.col("predicted").cast("int"), "score": F.col("predicted").cast("double")})
+    rows.append(MM.evaluate(knn, "y", "prediction", "score").withColumns(
+        {"model": F.lit("knn"), "fit_seconds": F.lit(0.0)}))
+    out = rows[0]
+    for r_ in rows[1:]:
+        out = out.unionByName(r_)
+    return rounded(out.select("model", "accuracy", "balanced_accuracy", "f1_score", "precision", "recall",
+                              "auc", "mcc", "log_loss", "fit_seconds"))
+
+
+def q_tune_gbt(spark, sf):
+    tr, va = _train_val(spark, sf)
+    return rounded(tune_gbt(tr, va, "y", n_trials=TUNE_TRIALS, parallelism=TUNE_TRIALS))
+
+
+def q_shapley_sampled(spark, sf):
+    tr, va = _train_val(spark, sf)
+    model = MD.fit_tree(tr, "y")
+    phi = shapley_sampled(model, va, tr, "vec_id", "embedding", N_DIM, n_perm=N_PERM)
+    return rounded(phi)
+
+
+def q_local_surrogate(spark, sf):
+    tr, va = _train_val(spark, sf)
+    model = MD.fit_tree(tr, "y")
+    scale = fit_scaler(tr.select(*[F.col("embedding")[i].alias(f"x{i}") for i in range(N_DIM)]),
+                       [f"x{i}" for i in range(N_DIM)]).stds
+    rows = sample_fixed(va, "vec_id", LOCAL_ROWS)
+    out = local_surrogate(model, rows, "vec_id", "embedding", N_DIM, [scale[f"x{i}"] for i in range(N_DIM)],
+                          n_samples=SURROGATE_SAMPLES, top=15)
+    return rounded(out)
+
+
 QUERIES = {
     "knn_classify": q_knn_classify,
     "smote": q_smote,
+    "fit_gbt": q_fit_gbt,
+    "fit_tree": q_fit_tree,
+    "fit_mlp": q_fit_mlp,
+    "fit_svm_rff": q_fit_svm_rff,
+    "model_compare": q_model_compare,
+    "tune_gbt": q_tune_gbt,
+    "shapley_sampled": q_shapley_sampled,
+    "local_surrogate": q_local_surrogate,
 }
 
 
