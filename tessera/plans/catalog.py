@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["monitoring", "shaping", "statistics", "registry", "learning", "attribution"]
+_MODULES = ["monitoring", "shaping", "statistics", "registry", "learning", "attribution", "streams", "io"]
 
 
 def _load():
