@@ -120,8 +120,11 @@ def monitor_batches(quality: DataFrame, summary: DataFrame, batch_col: str = "ba
 def monitor_summary(batches: DataFrame) -> DataFrame:
     """Drift batch count, stable batch count, and mean F1 / accuracy of stable batches."""
     stable = ~F.coalesce(F.col("dataset_drift"), F.lit(False))
+
+    def mean(c):  # decimal sums do not depend on the order partial results arrive in
+        return F.round(F.avg(F.when(stable, F.col(c).cast("decimal(38,18)"))), 6).cast("double")
     return batches.agg(
         F.count(F.lit(1)).cast("long").alias("n_batches"),
         F.count_if(~stable).cast("long").alias("n_drift_batches"),
-        F.avg(F.when(stable, F.col("f1_score"))).alias("stable_mean_f1"),
-        F.avg(F.when(stable, F.col("accuracy"))).alias("stable_mean_accuracy"))
+        mean("f1_score").alias("stable_mean_f1"),
+        mean("accuracy").alias("stable_mean_accuracy"))

@@ -87,7 +87,8 @@ def q_monitor_batches(spark, sf_dir):
 
 
 def q_monitor_summary(spark, sf_dir):
-    return rounded(drift.monitor_summary(_monitor_batches(spark, sf_dir)))
+    mb = _monitor_batches(spark, sf_dir)  # rounded before averaging, as the report table is
+    return rounded(drift.monitor_summary(rounded(mb)))
 
 
 QUERIES = {
@@ -211,9 +212,12 @@ SELECT batch, tp, fp, tn, fn, round(f1_score, 6) AS f1_score, round(accuracy, 6)
   round(precision, 6) AS precision, round(recall, 6) AS recall, round(mcc, 6) AS mcc,
   n_features_drifted, total_features, round(drift_percentage, 6) AS drift_percentage, dataset_drift, status
 FROM mb""",
-    "monitor_summary": "WITH " + EVENTS_CTE + "," + _LONG + ks_sql("ref_long", "bat_long") + "," + _SUMMARY + """
+    "monitor_summary": "WITH " + EVENTS_CTE + "," + _LONG + ks_sql("ref_long", "bat_long") + "," + _SUMMARY + """,
+mbr AS (SELECT dataset_drift, round(f1_score, 6) AS f1_score, round(accuracy, 6) AS accuracy FROM mb)
 SELECT CAST(count(*) AS BIGINT) AS n_batches, CAST(count_if(coalesce(dataset_drift, false)) AS BIGINT) AS n_drift_batches,
-  round(avg(f1_score) FILTER (WHERE NOT coalesce(dataset_drift, false)), 6) AS stable_mean_f1,
-  round(avg(accuracy) FILTER (WHERE NOT coalesce(dataset_drift, false)), 6) AS stable_mean_accuracy
-FROM mb""",
+  CAST(round(avg(CAST(f1_score AS DECIMAL(38, 18))) FILTER (WHERE NOT coalesce(dataset_drift, false)), 6) AS DOUBLE)
+    AS stable_mean_f1,
+  CAST(round(avg(CAST(accuracy AS DECIMAL(38, 18))) FILTER (WHERE NOT coalesce(dataset_drift, false)), 6) AS DOUBLE)
+    AS stable_mean_accuracy
+FROM mbr""",
 }
