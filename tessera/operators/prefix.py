@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import cut_lineage
+
 DEFAULT_BUCKETS = 64
 _BKT = "__bkt"
 _CUTS = "__cuts"
@@ -39,12 +41,28 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+SINGLE_TASK_ROWS_CONF = "tessera.prefix.singleTaskRows"
+SINGLE_TASK_ROWS_DEFAULT = 4_000_000
+
+
 def fits_one_task(df: DataFrame) -> bool:
     limit = int(df.sparkSession.conf.get(SINGLE_TASK_BYTES_CONF, str(SINGLE_TASK_BYTES_DEFAULT)))
     size = estimated_bytes(df)
     return size is not None and size <= limit
 
 
+def _choose(df: DataFrame) -> tuple[DataFrame, bool]:
+    """(input, single-task?) - the estimate decides when it is small; otherwise
+    (estimates of joins are products of their inputs, so they overshoot) the
+    input is checkpointed once to the shared folder and its real row count
+    decides.  The checkpoint is reused by whichever path follows."""
+    if fits_one_task(df):
+        return df, True
+    df = cut_lineage(df)
+    limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
+    return df, df.count() <= limit
+
+
 def _numeric_order(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
     c = F.col(name)
@@ -109,9 +127,14 @@ def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Col
     first = order_cols[0]
     tmp = {f"__m_{i}": m for i, m in enumerate(measures.values())}
     df = df.withColumns(tmp)
-    single = fits_one_task(df) if buckets == "auto" else buckets == 1
+    materialised = False
     if buckets == "auto":
+        before = df
+        df, single = _choose(df)
+        materialised = df is not before
         buckets = DEFAULT_BUCKETS
+    else:
+        single = buckets == 1
     sort = [(F.col(o).desc() if descending else F.col(o).asc()) if isinstance(o, str) else o
             for o in order_cols]
     if single:
@@ -126,6 +149,10 @@ def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Col
             for (name, _), t in zip(measures.items(), tmp):
                 outs[f"{name}_total"] = _agg(how, F.col(t)).over(wt)
         return df.withColumns(outs).drop(*tmp)
+    # the input is used three times below (cuts, bucket totals, final window):
+    # write it once to the shared checkpoint folder instead of recomputing it
+    if not materialised:
+        df = cut_lineage(df)
     if bucket is not None:
         df = df.withColumn(_BKT, bucket)
     else:

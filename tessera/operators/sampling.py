@@ -40,7 +40,7 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, test_size: floa
     n_test = F.round(n * F.lit(test_size))
     n_val = F.round((n - n_test) * F.lit(val_size / (1.0 - test_size)))
     sizes = sizes.withColumns({"__n_test": n_test, "__n_val": n_val})
-    out = ranked.join(F.broadcast(sizes), on=label_col, how="left")  # one row per label
+    out = ranked.join(sizes, on=label_col, how="left")  # one row per label: Spark broadcasts it when small
     split = (F.when(F.col("__rn") <= F.col("__n_test"), F.lit("test"))
              .when(F.col("__rn") <= F.col("__n_test") + F.col("__n_val"), F.lit("val"))
              .otherwise(F.lit("train")))
