@@ -42,7 +42,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return os.path.exists(path)
 
 
-def read_csv_sources(spark: SparkSession, sources: dict[str, tuple[str, T.StructType]],
+def read_csv_sources(spark: SparkSession, sources: dict[str, tuple[str, T.StructType | str]],
                      header: bool = True) -> dict[str, DataFrame]:
     """Read each ``name -> (path, schema)`` that exists; raise if none does."""
     found = {}
