@@ -36,7 +36,7 @@ from tessera.operators.sampling import hash_rank
 
 DIST_DIGITS = 9
 SLACK = 1e-9
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 
 
 def sq_dist(a, b) -> Column:

@@ -119,3 +119,15 @@ def test_batches_are_contiguous(spark):
     n = o.count()
     assert b.count() == (n // 5) * 5
     assert sorted(r["count"] for r in b.groupBy("batch").count().collect()) == [n // 5] * 5
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000, 1001])
+def test_exact_median_bucket_method(spark, n):
+    from tessera.operators.columns import _value_at_rank, exact_median
+    df = spark.range(n).select(((F.col("id") * 7919) % 997 / 7.0).alias("x"))
+    vals = sorted(r["x"] for r in df.collect())
+    expect = (vals[(n - 1) // 2] + vals[n // 2]) / 2.0
+    assert exact_median(df, "x") == pytest.approx(expect)
+    values = df.select(F.col("x").alias("v"))
+    assert _value_at_rank(values, (n - 1) // 2) == vals[(n - 1) // 2]
+    assert _value_at_rank(values, n - 1) == vals[-1]
