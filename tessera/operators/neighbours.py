@@ -3,7 +3,7 @@
 Pivot cells with triangle-inequality pruning:
 
 1. ``P`` pivots are drawn from the reference side by hash order (a fitted
-   parameter of ``P x d`` numbers; ``P`` grows with sqrt(n), capped).
+   parameter of ``P x d`` numbers; ``P`` grows with n, capped).
 2. Every reference row goes to its nearest pivot's cell; per cell the row
    count and the radius (largest distance to the pivot) form a small table.
 3. Each query row computes its ``P`` pivot distances.  Taking its cells in
@@ -12,8 +12,15 @@ Pivot cells with triangle-inequality pruning:
    ``d(q, pivot) + radius``.  Any row within ``tau`` lies in a cell with
    ``d(q, pivot) - radius <= tau`` - only those cells are joined (equi-join on
    the cell id), so the pair count is the pruned candidate set, not Q x R.
-4. ``row_number() <= k`` per query keeps the k nearest; Spark plans this as a
-   window group limit, taking partial top-k before the shuffle.
+4. Each (query, candidate cell) pair is processed in bounded blocks (cell,
+   query chunk, ref chunk) by ``cogroup().applyInPandas``: one numpy distance
+   matrix per block, only the k best per query leave it.  Then
+   ``row_number() <= k`` per query keeps the global k nearest; Spark plans this
+   as a window group limit, taking partial top-k before the shuffle.
+
+In high dimensions distances concentrate and the bounds may prune little; the
+work then is a blocked all-pairs computation, but pair rows are still never
+materialised and every block is bounded.
 
 Distances are squared Euclidean on doubles, rounded to 9 digits for ordering;
 ties go to the smaller id.  They are computed by Arrow-batched numpy UDFs
@@ -89,14 +96,52 @@ def pivot_distance_udf(pivots: list[list[float]]):
 
 
 def _pivots(ref: DataFrame, id_col: str, vec_col: str, n_pivots: int | None) -> list[list[float]]:
-    if n_pivots is None:
+    if n_pivots is None:  # cells of about a quarter block: pruning where data cluster, full blocks otherwise
         n = ref.count()
-        n_pivots = max(1, min(MAX_PIVOTS, int(math.sqrt(max(n, 1)))))
+        n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n / (REF_BLOCK // 4))))
     rows = hash_rank(ref.select(id_col, vec_col), id_col, name="__rn", tag="pivot") \
         .where(F.col("__rn") <= n_pivots)
     return [[float(x) for x in r[vec_col]] for r in rows.orderBy(id_col).collect()]
 
 
+QUERY_BLOCK = 1024
+REF_BLOCK = 4096
+
+
+def _block_top_k(k: int, exclude_self: bool, by: list[str], qid: str, rid: str):
+    """cogroup body: exact distances of one (cell, query chunk, ref chunk) block in
+    numpy, same sequential sum as ``sq_dist``; emits only each query's k best."""
+    def run(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        cols = [*by, qid, rid, "sq_dist"]
+        if len(qpdf) == 0 or len(rpdf) == 0:
+            return pd.DataFrame({c: [] for c in cols})
+        qx = np.vstack(qpdf["__qvec"].to_numpy()).astype(np.float64)
+        rx = np.vstack(rpdf["__rvec"].to_numpy()).astype(np.float64)
+        acc = np.zeros((qx.shape[0], rx.shape[0]))
+        for j in range(qx.shape[1]):
+            diff = qx[:, j][:, None] - rx[:, j][None, :]
+            acc = acc + diff * diff
+        acc = np.round(acc, DIST_DIGITS)
+        qids = qpdf["__qid"].to_numpy()
+        rids = rpdf[rid].to_numpy()
+        if exclude_self:
+            acc = np.where(qids[:, None] == rids[None, :], np.inf, acc)
+        kk = min(k, rx.shape[0])
+        out_q, out_r, out_d = [], [], []
+        for i in range(qx.shape[0]):
+            order = np.lexsort((rids, acc[i]))[:kk]  # distance, then id
+            keep = order[np.isfinite(acc[i][order])]
+            out_q.append(np.full(len(keep), qids[i]))
+            out_r.append(rids[keep])
+            out_d.append(acc[i][keep])
+        res = pd.DataFrame({qid: np.concatenate(out_q), rid: np.concatenate(out_r),
+                            "sq_dist": np.concatenate(out_d)})
+        for c in by:
+            res[c] = qpdf[c].iloc[0]
+        return res[cols]
+    return run
+
+
 def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str = "rid",
             vec: str = "vec", by: list[str] | None = None, exclude_self: bool = False,
             n_pivots: int | None = None) -> DataFrame:
@@ -105,9 +150,18 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
     ``query`` has (by..., qid, vec), ``ref`` has (by..., rid, vec); neighbours
     are searched within the same ``by`` group.  With ``exclude_self`` a ref row
     whose id equals the query id is skipped (self-neighbourhood of one table).
+
+    Candidate cells come from the pivot bounds; each (query, candidate cell)
+    is then processed in bounded blocks - (cell, query chunk, ref chunk)
+    groups of at most ``QUERY_BLOCK`` queries and ``REF_BLOCK`` references -
+    whose distance matrix stays inside one numpy call and yields only k rows
+    per query.  Pairs are never materialised as rows.
     """
     by = by or []
     k_eff = k + (1 if exclude_self else 0)
+    # fresh attribute ids: query and ref may be the same table (self-neighbourhood)
+    query = query.select(*[F.col(c).alias(c) for c in query.columns])
+    ref = ref.select(*[F.col(c).alias(c) for c in ref.columns])
     pivots = _pivots(ref, rid, vec, n_pivots)
     pivot_dists = pivot_distance_udf(pivots)
 
@@ -119,7 +173,7 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
 
     qx = query.select(*by, F.col(qid).alias("__qid"), F.posexplode(pivot_dists(F.col(vec))).alias("__cell", "__dq"))
     qx = qx.join(cells, on=by + ["__cell"])  # cells: groups x P rows
-    wq = Window.partitionBy("__qid").orderBy("__dq", "__cell")
+    wq = Window.partitionBy("__qid").orderBy("__dq", "__cell")  # P rows per query
     before = F.coalesce(F.sum("__n").over(wq.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     qx = qx.withColumn("__needed", before < F.lit(k_eff))
     tau = F.max(F.when(F.col("__needed"), F.col("__dq") + F.col("__radius"))).over(Window.partitionBy("__qid"))
@@ -127,15 +181,30 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
     cand = qx.where(F.col("__dq") - F.col("__radius") <= F.col("__tau") * (1 + SLACK) + SLACK) \
              .select(*by, "__qid", "__cell")
 
+    # block counts per cell: ceil(queries / QUERY_BLOCK) x ceil(refs / REF_BLOCK)
+    nq = cand.groupBy(*by, "__cell").agg(F.count(F.lit(1)).alias("__nq"))
+    blocks = (nq.join(cells, on=by + ["__cell"])
+              .select(*by, "__cell",
+                      F.ceil(F.col("__nq") / QUERY_BLOCK).cast("int").alias("__cq"),
+                      F.ceil(F.col("__n") / REF_BLOCK).cast("int").alias("__cr")))
     qv = query.select(F.col(qid).alias("__qid"), F.col(vec).alias("__qvec"))
-    pairs = (cand.join(rc.select(*by, "__cell", rid, vec), on=by + ["__cell"])
-             .join(qv, on="__qid"))
-    if exclude_self:
-        pairs = pairs.where(F.col(rid) != F.col("__qid"))
-    pairs = pairs.select(*by, F.col("__qid").alias(qid), rid,
-                         F.round(sq_dist_vec(F.col("__qvec"), F.col(vec)), DIST_DIGITS).alias("sq_dist"))
+    qside = (cand.join(blocks, on=by + ["__cell"]).join(qv, on="__qid")
+             .withColumn("__qc", F.pmod(F.xxhash64("__qid"), F.col("__cq")).cast("int"))
+             .withColumn("__rc", F.explode(F.sequence(F.lit(0), F.col("__cr") - 1)))
+             .select(*by, "__cell", "__qc", "__rc", "__qid", "__qvec"))
+    rside = (rc.join(blocks, on=by + ["__cell"])
+             .withColumn("__rc", F.pmod(F.xxhash64(rid), F.col("__cr")).cast("int"))
+             .withColumn("__qc", F.explode(F.sequence(F.lit(0), F.col("__cq") - 1)))
+             .select(*by, "__cell", "__qc", "__rc", rid, F.col(vec).alias("__rvec")))
+    key = [*by, "__cell", "__qc", "__rc"]
+    schema_by = ", ".join(f"`{c}` {query.schema[c].dataType.simpleString()}" for c in by)
+    schema = ((schema_by + ", ") if by else "") + (
+        f"`{qid}` {query.schema[qid].dataType.simpleString()}, "
+        f"`{rid}` {ref.schema[rid].dataType.simpleString()}, sq_dist double")
+    part = (qside.groupBy(*key).cogroup(rside.groupBy(*key))
+            .applyInPandas(_block_top_k(k, exclude_self, by, qid, rid), schema))
     w = Window.partitionBy(qid).orderBy("sq_dist", rid)
-    return (pairs.withColumn("rank", F.row_number().over(w))
+    return (part.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))
 
 
