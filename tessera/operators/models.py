@@ -179,3 +179,13 @@ def evaluate_model(model: FittedModel, data: DataFrame, label: str = "label",
     scored = model.transform(data)
     row = M.evaluate(scored, label, "prediction", "score", by)
     return row.withColumns({"model": F.lit(model.name), "fit_seconds": F.lit(round(model.fit_seconds, 3))})
+
+
+def importance_table(spark, model: FittedModel, names: list[str], top: int | None = 20) -> DataFrame:
+    """(feature, importance, rank) of a tree model; the vector has one entry per
+    feature, so this small table is built from the fitted model on the driver."""
+    rows = model.feature_importances(names)
+    df = spark.createDataFrame(rows, "feature string, importance double")
+    from pyspark.sql import Window
+    ranked = df.withColumn("rank", F.row_number().over(Window.orderBy(F.col("importance").desc(), "feature")))
+    return ranked.where(F.col("rank") <= top) if top else ranked

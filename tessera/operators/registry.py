@@ -93,3 +93,26 @@ def current_stage(events: DataFrame, model: str, version: str, stage: str, order
     st = (F.when((F.col("__stage") == PRODUCTION) & (F.col(version) < F.col("__prod_version")),
                  F.lit(ARCHIVED)).otherwise(F.col("__stage")))
     return out.select(model, version, st.alias(stage))
+
+
+def next_version(registry: DataFrame, model: str, version: str = "version",
+                 candidates: DataFrame | None = None) -> DataFrame:
+    """Version number a new registration of each model gets: max(version) + 1 (1 for new models).
+    ``candidates`` (one row per model to register) may name models not yet in the registry."""
+    latest = registry.groupBy(model).agg(F.max(version).alias("__v"))
+    base = candidates.select(model).distinct() if candidates is not None else latest.select(model)
+    out = base.join(latest, on=model, how="left")
+    return out.select(model, (F.coalesce(F.col("__v"), F.lit(0)) + 1).alias("next_version"))
+
+
+def promote_latest(events: DataFrame, model: str, version: str, stage: str, seq: str) -> DataFrame:
+    """Append-only promotion: for each model's newest version, a Staging then a
+    Production event after the last sequence number.  ``current_stage`` then
+    reads the older Production versions as Archived."""
+    latest = events.groupBy(model).agg(F.max(version).alias(version), F.max(seq).alias("__last"))
+    steps = latest.select(model, version, F.explode(F.array(
+        F.struct(F.lit(STAGING).alias("s"), F.lit(1).alias("o")),
+        F.struct(F.lit(PRODUCTION).alias("s"), F.lit(2).alias("o")))).alias("__e"), "__last")
+    new = steps.select(model, version, F.col("__e.s").alias(stage),
+                       (F.col("__last") + F.col("__e.o")).alias(seq))
+    return events.select(model, version, stage, seq).unionByName(new)

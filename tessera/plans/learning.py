@@ -142,7 +142,13 @@ def q_local_surrogate(spark, sf):
     return rounded(out)
 
 
+def q_feature_importance(spark, sf):
+    names = [f"e{i:02d}" for i in range(N_DIM)]
+    return rounded(MD.importance_table(spark, fitted(spark, sf, "tree"), names, top=20))
+
+
 QUERIES = {
+    "feature_importance": q_feature_importance,
     "knn_classify": q_knn_classify,
     "smote": q_smote,
     "fit_gbt": q_fit_gbt,

@@ -37,3 +37,15 @@ def test_stream_window_metrics_emits_closed_windows(spark):
     n = out.count()
     assert n >= 1
     assert out.agg(F.sum("n")).first()[0] <= spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_next_version_and_promotion(spark):
+    reg = spark.createDataFrame([("a", 1, "None", 1), ("a", 2, "None", 2), ("b", 1, "Production", 3)],
+                                "model string, version int, stage string, seq int")
+    cand = spark.createDataFrame([("a",), ("c",)], "model string")
+    nv = {r["model"]: r["next_version"] for r in R.next_version(reg, "model", candidates=cand).collect()}
+    assert nv == {"a": 3, "c": 1}
+    promoted = R.promote_latest(reg, "model", "version", "stage", "seq")
+    cur = {(r["model"], r["version"]): r["stage"]
+           for r in R.current_stage(promoted, "model", "version", "stage", ["seq"]).collect()}
+    assert cur == {("a", 1): "None", ("a", 2): "Production", ("b", 1): "Production"}
