@@ -48,7 +48,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not current:
-        current = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local folder "
+                               "cannot hold checkpoints of a cluster")
+        current = tempfile.mkdtemp(prefix="tessera-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", current)
     try:
         spark.sparkContext.setCheckpointDir(current)
