@@ -57,14 +57,52 @@ def top_k_per_row(phi: DataFrame, id_cols: list[str], k: int = 15, feature: str
     return phi.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _hybrids(seed: int, n_features: int, id_type: str):
+    """mapInPandas body: for each (row, permutation) emit the 2 x d hybrid vectors
+    ("with j" / "without j" for every feature j).  The permutation comes from a
+    generator seeded by (seed, row id, permutation), so it does not depend on
+    partitioning; everything is numpy masks, no per-element Python."""
+    d = n_features
+
+    def run(it):
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            xs = np.vstack(pdf["__x"].to_numpy()).astype(np.float64)
+            zs = np.vstack(pdf["__z"].to_numpy()).astype(np.float64)
+            rids, ps = pdf["__rid"].to_numpy(), pdf["__p"].to_numpy()
+            vecs, out_r, out_p, out_j, out_s = [], [], [], [], []
+            for i in range(len(pdf)):
+                rid = int(rids[i])
+                rng = np.random.default_rng([seed, rid & 0xFFFFFFFF, (rid >> 32) & 0xFFFFFFFF, int(ps[i])])
+                pos = np.empty(d, dtype=np.int64)
+                pos[rng.permutation(d)] = np.arange(d)
+                with_j = pos[None, :] <= pos[:, None]  # row j: features placed up to j
+                without_j = pos[None, :] < pos[:, None]
+                vecs.append(np.where(with_j, xs[i], zs[i]))
+                vecs.append(np.where(without_j, xs[i], zs[i]))
+                out_r.append(np.full(2 * d, rid))
+                out_p.append(np.full(2 * d, ps[i]))
+                out_j.append(np.tile(np.arange(d), 2))
+                out_s.append(np.repeat([1, -1], d))
+            block = np.vstack(vecs)
+            yield pd.DataFrame({"__rid": np.concatenate(out_r), "__p": np.concatenate(out_p),
+                                "__j": np.concatenate(out_j), "__s": np.concatenate(out_s),
+                                "__v": list(block)})
+    schema = f"__rid {id_type}, __p int, __j long, __s int, __v array<double>"
+    return run, schema
+
+
 def shapley_sampled(model, rows: DataFrame, background: DataFrame, id_col: str, vec_col: str,
                     n_features: int, n_perm: int = 8, seed: int = DEFAULT_SEED,
                     features_col: str = "features") -> DataFrame:
-    """(id, feature, phi, f_row, f_background_mean) by permutation sampling.
+    """(id, feature, phi) by permutation sampling.
 
     ``model`` has ``transform(df)`` adding ``score`` from a vector column
     ``features_col``.  Background row of (row, permutation) = background
     member of index hash(row|perm) mod n_background (equi-join on index).
+    Per (row, permutation) the "with" minus "without" differences add up to
+    f(row) - f(background), so phi sums to f(row) - mean f(background).
     """
     from pyspark.ml.functions import array_to_vector
     from tessera.operators.sampling import hash_rank
@@ -77,27 +115,9 @@ def shapley_sampled(model, rows: DataFrame, background: DataFrame, id_col: str,
     key = F.concat_ws("|", F.col("__rid").cast("string"), F.col("__p").cast("string"))
     perms = perms.withColumn("__bidx", (F.pmod(F.floor(hash_u(key, "bgpick", seed) * F.lit(4294967296.0))
                                                .cast("long"), F.lit(n_bg)) + 1))
-    perms = perms.join(bg.select("__bidx", "__z"), on="__bidx")
-    idx = F.sequence(F.lit(0), F.lit(n_features - 1))
-    # position of each feature in this (row, permutation)'s random order
-    hashes = F.transform(idx, lambda i: F.struct(
-        hash_u(F.concat_ws("|", key, i.cast("string")), "perm", seed).alias("h"), i.alias("i")))
-    order = F.transform(F.array_sort(hashes), lambda s: s["i"])
-    perms = perms.withColumn("__pos", F.transform(idx, lambda i: F.array_position(order, i) - 1))
-    per_feat = perms.select("__rid", "__p", "__x", "__z", "__pos", F.explode(idx).alias("__j"))
-
-    def hybrid(include_j: bool):
-        pj = F.element_at(F.col("__pos"), F.col("__j") + 1)
-        return F.transform(idx, lambda i: F.when(
-            (F.element_at(F.col("__pos"), i + 1) < pj) if not include_j else
-            (F.element_at(F.col("__pos"), i + 1) <= pj),
-            F.element_at(F.col("__x"), i + 1)).otherwise(F.element_at(F.col("__z"), i + 1)).cast("double"))
-
-    both = per_feat.select("__rid", "__p", "__j",
-                           F.explode(F.array(F.struct(F.lit(1).alias("s"), hybrid(True).alias("v")),
-                                             F.struct(F.lit(-1).alias("s"), hybrid(False).alias("v")))).alias("h"))
-    both = both.select("__rid", "__p", "__j", F.col("h.s").alias("__s"),
-                       array_to_vector(F.col("h.v")).alias(features_col))
+    perms = perms.join(bg.select("__bidx", "__z"), on="__bidx").select("__rid", "__p", "__x", "__z")
+    fn, schema = _hybrids(seed, n_features, rows.schema[id_col].dataType.simpleString())
+    both = perms.mapInPandas(fn, schema).withColumn(features_col, array_to_vector("__v")).drop("__v")
     scored = model.transform(both)
     diff = scored.groupBy("__rid", "__p", "__j").agg(F.sum(F.col("__s") * F.col("score")).alias("__d"))
     phi = diff.groupBy("__rid", "__j").agg(F.avg("__d").alias("phi"))

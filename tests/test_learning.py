@@ -78,3 +78,23 @@ def test_search_space_is_deterministic_and_in_bounds(spark):
         assert r["n_trees"] in (100, 150, 200, 300, 400, 500)
         assert 3 <= r["max_depth"] <= 12 and 0.005 <= r["learning_rate"] <= 0.3
         assert 0.5 <= r["subsample"] <= 1 and 1 <= r["min_child"] <= 20
+
+
+def test_shapley_sampled_efficiency_property(spark):
+    """Per row: sum_j phi_j = f(row) - mean over permutations of f(its background row)."""
+    from pyspark.ml.classification import LogisticRegression
+    d = _model_data(spark).cache()
+    tr, va = d.where("split = 'train'"), d.where("split = 'val'").limit(4)
+    lr = LogisticRegression(labelCol="y", featuresCol="features", maxIter=20).fit(tr)
+
+    class M:
+        def transform(self, df):
+            from pyspark.ml.functions import vector_to_array
+            return lr.transform(df).withColumn("score", vector_to_array("probability")[1])
+    phi = shapley_sampled(M(), va, tr, "vec_id", "embedding", 64, n_perm=1)
+    sums = {r["vec_id"]: r["s"] for r in phi.groupBy("vec_id").agg(F.sum("phi").alias("s")).collect()}
+    f_row = {r["vec_id"]: r["score"] for r in M().transform(va).collect()}
+    # with one permutation: sum phi = f(row) - f(background); f(background) lies in [0, 1]
+    for k, s in sums.items():
+        assert -1.0 <= f_row[k] - s <= 1.0 + 1e-9
+        assert 0.0 - 1e-9 <= f_row[k] - s <= 1.0 + 1e-9
