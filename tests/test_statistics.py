@@ -131,3 +131,13 @@ def test_exact_median_bucket_method(spark, n):
     values = df.select(F.col("x").alias("v"))
     assert _value_at_rank(values, (n - 1) // 2) == vals[(n - 1) // 2]
     assert _value_at_rank(values, n - 1) == vals[-1]
+
+
+def test_two_level_prefix_descending_exclusive(spark):
+    df = spark.range(0, 4000).select((F.col("id") % 3).alias("k"), ((F.col("id") * 31) % 4001).alias("o"),
+                                     (F.col("id") % 7).cast("long").alias("v"))
+    two = prefix.running(df, ["k"], ["o"], {"r": F.col("v")}, descending=True, inclusive=False, buckets=8)
+    w = Window.partitionBy("k").orderBy(F.col("o").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    plain = df.withColumn("r2", F.coalesce(F.sum("v").over(w), F.lit(0)))
+    j = two.join(plain, on=["k", "o", "v"])
+    assert j.count() == 4000 and j.where(F.col("r") != F.col("r2")).count() == 0
