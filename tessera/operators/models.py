@@ -175,10 +175,19 @@ class MarginToVector(Transformer):
 
 def evaluate_model(model: FittedModel, data: DataFrame, label: str = "label",
                    by: list[str] | None = None) -> DataFrame:
-    """One metric row: counts, ratios, AUC, log loss, average precision, fit time."""
-    scored = model.transform(data)
-    row = M.evaluate(scored, label, "prediction", "score", by)
-    return row.withColumns({"model": F.lit(model.name), "fit_seconds": F.lit(round(model.fit_seconds, 3))})
+    """Metric rows (one per ``by`` group): counts, ratios, AUC, log loss, average
+    precision, fit time.  The narrow scored table (label, prediction, score) is
+    persisted once, so inference runs once for all metric aggregations; the
+    result (one row per group) is materialised before the cache is released."""
+    by = by or []
+    scored = model.transform(data).select(*by, label, "prediction", "score").persist()
+    try:
+        row = M.evaluate(scored, label, "prediction", "score", by)
+        row = row.withColumns({"model": F.lit(model.name), "fit_seconds": F.lit(round(model.fit_seconds, 3))})
+        rows = row.collect()  # one row per group
+        return data.sparkSession.createDataFrame(rows, row.schema)
+    finally:
+        scored.unpersist()
 
 
 def importance_table(spark, model: FittedModel, names: list[str], top: int | None = 20) -> DataFrame:
