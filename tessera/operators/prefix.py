@@ -80,18 +80,30 @@ def _agg(how: str, c: Column) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[how](c)
 
 
+HOT_KEY_ROWS_CONF = "tessera.prefix.hotKeyRows"
+HOT_KEY_ROWS_DEFAULT = 1_000_000
+
+
 def add_bucket(df: DataFrame, keys: list[str], order_col: str, buckets: int,
-               descending: bool = False) -> DataFrame:
-    """Add ``__bkt``: a range bucket of ``order_col`` per key, monotone in the order."""
+               descending: bool = False, hot_rows: int = 0) -> DataFrame:
+    """Add ``__bkt``: a range bucket of ``order_col`` per key, monotone in the order.
+
+    Only keys with more than ``hot_rows`` rows are cut into ranges (there are
+    at most n / hot_rows of them); every other key keeps bucket 0, whose window
+    task is bounded by ``hot_rows``."""
     v = _numeric_order(df, order_col)
     probs = [i / buckets for i in range(1, buckets)]
     if not probs:
         return df.withColumn(_BKT, F.lit(0))
     if keys:
-        cuts = (df.groupBy(*keys)
+        src = df
+        if hot_rows > 0:
+            hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__kn")).where(F.col("__kn") > hot_rows)
+            src = df.join(hot.select(*keys), on=keys, how="left_semi")
+        cuts = (src.groupBy(*keys)
                 .agg(F.percentile_approx(v, probs, 10000).alias(_CUTS)))
         df = df.join(cuts, on=keys, how="left")
-        cuts_col = F.col(_CUTS)
+        cuts_col = F.coalesce(F.col(_CUTS), F.array().cast("array<double>"))
     else:
         # one small array (buckets-1 values) is a fitted parameter, not data
         row = df.agg(F.percentile_approx(v, probs, 10000).alias(_CUTS)).first()
@@ -109,7 +121,7 @@ def add_bucket(df: DataFrame, keys: list[str], order_col: str, buckets: int,
 def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Column],
             how: str = "sum", descending: bool = False, buckets: int | str = "auto",
             bucket: Column | None = None, inclusive: bool = True,
-            totals: bool = False) -> DataFrame:
+            totals: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Add running aggregates ``{out_name: measure}`` over ``order`` within ``keys``.
 
     ``order`` must be unique within ``keys`` (aggregate ties first, or append an
@@ -128,6 +140,9 @@ def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Col
     tmp = {f"__m_{i}": m for i, m in enumerate(measures.values())}
     df = df.withColumns(tmp)
     materialised = False
+    if hot_rows is None:  # explicit bucket counts (tests, callers) cut every key
+        hot_rows = (int(df.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS_DEFAULT)))
+                    if buckets == "auto" else 0)
     if buckets == "auto":
         before = df
         df, single = _choose(df)
@@ -156,7 +171,7 @@ def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Col
     if bucket is not None:
         df = df.withColumn(_BKT, bucket)
     else:
-        df = add_bucket(df, keys, first, buckets, descending)
+        df = add_bucket(df, keys, first, buckets, descending, hot_rows)
 
     per_bucket = df.groupBy(*keys, _BKT).agg(*[_agg(how, F.col(t)).alias(t) for t in tmp])
     wb = Window.partitionBy(*keys).orderBy(F.col(_BKT)) if keys else Window.orderBy(F.col(_BKT))

@@ -141,3 +141,13 @@ def test_two_level_prefix_descending_exclusive(spark):
     plain = df.withColumn("r2", F.coalesce(F.sum("v").over(w), F.lit(0)))
     j = two.join(plain, on=["k", "o", "v"])
     assert j.count() == 4000 and j.where(F.col("r") != F.col("r2")).count() == 0
+
+
+def test_two_level_prefix_splits_only_hot_keys(spark):
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 10 < 6, F.lit(0)).otherwise(F.col("id") % 7 + 1).alias("k"),
+        F.col("id").alias("o"), (F.col("id") % 13).cast("long").alias("v"))
+    two = prefix.running(df, ["k"], ["o"], {"r": F.col("v")}, buckets=16, hot_rows=1000)
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    j = two.join(df.withColumn("r2", F.sum("v").over(w)), on=["k", "o", "v"])
+    assert j.count() == 6000 and j.where(F.col("r") != F.col("r2")).count() == 0
