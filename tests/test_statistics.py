@@ -151,3 +151,22 @@ def test_two_level_prefix_splits_only_hot_keys(spark):
     w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     j = two.join(df.withColumn("r2", F.sum("v").over(w)), on=["k", "o", "v"])
     assert j.count() == 6000 and j.where(F.col("r") != F.col("r2")).count() == 0
+
+
+@pytest.mark.parametrize("rows_limit", ["4000000", "10"])
+def test_prefix_auto_path_after_checkpoint(spark, rows_limit):
+    """Estimate says 'large' -> input checkpointed once, then the real row count picks
+    the single-task window (rows <= limit) or the two-level form; both are exact."""
+    df = spark.range(0, 3000).select((F.col("id") % 4).alias("k"), ((F.col("id") * 17) % 3001).alias("o"),
+                                     F.lit(1).cast("long").alias("v"))
+    spark.conf.set(prefix.SINGLE_TASK_BYTES_CONF, "0")
+    spark.conf.set(prefix.SINGLE_TASK_ROWS_CONF, rows_limit)
+    try:
+        out = prefix.running(df, ["k"], ["o"], {"rn": F.col("v")}, totals=True)
+        w = Window.partitionBy("k").orderBy("o")
+        j = out.join(df.withColumn("rn2", F.row_number().over(w)), on=["k", "o", "v"])
+        assert j.count() == 3000
+        assert j.where((F.col("rn") != F.col("rn2")) | (F.col("rn_total") != 750)).count() == 0
+    finally:
+        spark.conf.unset(prefix.SINGLE_TASK_BYTES_CONF)
+        spark.conf.unset(prefix.SINGLE_TASK_ROWS_CONF)
