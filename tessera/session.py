@@ -4,9 +4,33 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of ``spark`` (once per application).
+
+    Functions that run in tasks are pickled by reference, so the workers must be able to
+    import the package from any working folder and without a shared installation.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tessera-ship-")), "tessera.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("tessera", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tessera") -> SparkSession:
