@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh
+from tessera.llm.common import fresh, small
 from tessera.session import cut_lineage
 
 CHUNK_CHARS = 32_768
@@ -104,7 +104,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     size = F.coalesce(F.length(text), F.lit(0))
 
     def short_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made = [encode(t.as_py(), path, pattern).tobytes() for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(made, pa.binary())],
                                              [*names, ids])
@@ -182,7 +182,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "id
     names = [f.name for f in keep]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made = [decode(x.as_py() or b"", path, pattern) for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(made, pa.binary())],
                                              [*names, out])

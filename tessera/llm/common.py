@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,8 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def task_rows(df: DataFrame, estimate: int, per_task: int, floor: int = 1) -> int:
-    """Partitions so that each holds about ``per_task`` of ``estimate`` rows, ``floor`` at least."""
-    return max(floor, -(-int(estimate) // per_task))
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker holds the results of a few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
