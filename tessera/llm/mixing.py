@@ -38,7 +38,6 @@ from tessera.session import cut_lineage
 BLOCK_WORDS = 65_536
 SHARD_BLOCKS = 32
 MAX_REPEATS = 3
-ROWS_PER_RANGE = 100_000
 SEED = "mix-1"
 
 
@@ -118,13 +117,13 @@ def source_targets(rows: DataFrame, weights: list[float], max_repeats: int = MAX
             for i, r in enumerate(found)]
 
 
-def draw(rows: DataFrame, sources: list[dict], block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS,
-         rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def draw(rows: DataFrame, sources: list[dict], block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """``rows`` (of ``sized``) with source_size, target, taken and ``draws``: a (shard, pass) for
     each time that the mix takes the document."""
     spark = rows.sparkSession
+    # as many ranges in a source as rows in a range: neither level outgrows a task
     table = spark.createDataFrame(
-        [(s["no"], s["source"], max(1, -(-s["n"] // rows_per_range)), s["words"], s["target"],
+        [(s["no"], s["source"], math.isqrt(s["n"]) + 1, s["words"], s["target"],
           int(s["target"] // s["words"]) if s["words"] else 0) for s in sources],
         "no int, source string, ranges int, source_size long, target double, passes int")
     table = table.withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
