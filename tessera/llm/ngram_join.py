@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import small
+from tessera.llm.rolling import Ranges, mixed
 from tessera.session import cut_lineage
 
 N = 5
@@ -41,8 +42,6 @@ SEED = 11
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = [np.ones(1, "u8"), np.ones(1, "u8")]
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MAX_HASHES) -> tuple[int, int]:
@@ -56,22 +55,6 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
     return best
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _table(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    if len(_powers[0]) < size:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(2 * size, base, "u8")
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
-
-
 def grams(text: str | None, n: int = N) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word n-grams of a whole text."""
     data = np.frombuffer((text or "").encode(), "u1")
@@ -80,13 +63,11 @@ def grams(text: str | None, n: int = N) -> np.ndarray:
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, "u8")
-    power, inverse = _table(len(data) + 1)
-    total = np.concatenate((np.zeros(1, "u8"), np.cumsum((data.astype("u8") + np.uint64(1)) * power[:len(data)], dtype="u8")))
-    words = _mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype("u8"))
+    words = Ranges(data).of(starts, ends)
     span = min(n, len(words))
     made = np.zeros(len(words) - span + 1, "u8")
     for j in range(span):
-        made = _mixed(made * np.uint64(3) + words[j:len(words) - span + 1 + j])
+        made = mixed(made * np.uint64(3) + words[j:len(words) - span + 1 + j])
     return np.unique(made)
 
 
@@ -98,8 +79,8 @@ def band_hashes(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
     for start in range(0, len(found), 2_048):
         np.minimum(least, (found[start:start + 2_048, None] * a + b).min(axis=0), out=least)
     out = np.zeros(bands, "u8")
-    for part in _mixed(least).reshape(bands, rows).T:
-        out = _mixed(out * np.uint64(3) + part)
+    for part in mixed(least).reshape(bands, rows).T:
+        out = mixed(out * np.uint64(3) + part)
     return out.view("i8")
 
 
