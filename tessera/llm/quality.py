@@ -110,14 +110,15 @@ def _fences(sketch: DataFrame, *keys: str) -> DataFrame:
 def thresholds(sketch: DataFrame) -> DataFrame:
     """lang, source and the fences that hold for them."""
     names = ["max_symbols", "min_length", "max_length", "max_lines"]
-    own, by_lang, of_all = _fences(sketch, "lang", "source"), _fences(sketch, "lang"), _fences(sketch)
-    packed = lambda df: F.struct(*[F.col(n) for n in names])
-    own = own.select("lang", "source", "documents", packed(own).alias("own"))
-    by_lang = by_lang.select(F.col("lang").alias("__lang"), F.col("documents").alias("lang_documents"), packed(by_lang).alias("of_lang"))
-    of_all = of_all.select(packed(of_all).alias("of_all"), F.lit(1).alias("one"))
-    both = own.join(by_lang, own["lang"].eqNullSafe(by_lang["__lang"])).withColumn("one", F.lit(1)).join(of_all, "one")
+    own, by_lang = _fences(sketch, "lang", "source"), _fences(sketch, "lang")
+    every = _fences(sketch).select(*names).first()  # four numbers
+    of_all = F.struct(*[F.lit(every[n] if every else None).cast("long").alias(n) for n in names])
+    packed = F.struct(*[F.col(n).cast("long").alias(n) for n in names])
+    own = own.select("lang", "source", "documents", packed.alias("own"))
+    by_lang = by_lang.select(F.col("lang").alias("__lang"), F.col("documents").alias("lang_documents"), packed.alias("of_lang"))
+    both = own.join(by_lang, own["lang"].eqNullSafe(by_lang["__lang"]))
     chosen = (F.when(F.col("documents") >= MIN_DOCUMENTS, F.col("own"))
-              .when(F.col("lang_documents") >= MIN_DOCUMENTS, F.col("of_lang")).otherwise(F.col("of_all")))
+              .when(F.col("lang_documents") >= MIN_DOCUMENTS, F.col("of_lang")).otherwise(of_all))
     return both.select("lang", "source", chosen.alias("f")).select("lang", "source", "f.*")
 
 
