@@ -48,71 +48,72 @@ def _kinds(text: np.ndarray) -> np.ndarray:
     return up
 
 
-def _places(symbols: np.ndarray, ends: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places that pushes to ``symbols`` take, in order; and the symbols pushed to with their counts."""
+def _places(symbols: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
+    """The places that pushes to ``symbols`` take, in order of arrival."""
     order = np.argsort(symbols, kind="stable")
     ranked = symbols[order]
-    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    counts = np.diff(np.concatenate((first, [len(ranked)])))
-    nth = np.arange(len(ranked)) - np.repeat(first, counts)
+    count = np.arange(len(ranked))
+    first = np.zeros(len(ranked), "i8")
+    first[1:] = np.where(ranked[1:] != ranked[:-1], count[1:], 0)
     places = np.empty(len(symbols), "i8")
-    places[order] = ends[ranked] + step * nth
-    return places, order, ranked[first], counts
+    places[order] = ends[ranked] + step * (count - np.maximum.accumulate(first))
+    return places
 
 
 def _induce(text: np.ndarray, up: np.ndarray, bounds: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """All suffixes in order, from the leftmost-S suffixes in order."""
+    """All suffixes in order, from the leftmost-S suffixes in order.
+
+    A block is popped at once.  What it pushes into itself ends it there: the pops before that
+    place push nothing in front of it.
+    """
     n = len(text)
     order = queue(n)
-    tails = bounds[1:].copy() - 1
     if len(seeds):  # to the ends of their runs, in order
-        places, *_ = _places(text[seeds][::-1], tails, -1)
-        order[places] = seeds[::-1]
+        order[_places(text[seeds][::-1], bounds[1:] - 1, -1)] = seeds[::-1]
     heads = bounds[:-1].copy()
     order[heads[text[n - 1]]] = n - 1  # the last suffix follows the empty one
     heads[text[n - 1]] += 1
     at, size = 0, BLOCK
     while at < n:  # pop upwards; push the greater neighbours to the left
         end = min(n, at + size)
-        while True:
-            left = order[at:end] - 1
-            left = left[left >= 0]
-            left = left[~up[left]]
-            if not len(left):
-                break
-            places, _, symbols, counts = _places(text[left], heads, 1)
-            least = int(places.min())
-            if least >= end:
-                order[places] = left
-                heads[symbols] += counts
-                break
-            # what is pushed into this block must be popped from it: a smaller block
-            end = max(at + 1, min(least, (at + end) // 2))
-        at, size = end, min(BLOCK, max(16, 2 * (end - at)))
+        left = order[at:end] - 1
+        item = np.flatnonzero(left >= 0)
+        item = item[~up[left[item]]]
+        if len(item):
+            left = left[item]
+            symbols = text[left]
+            places = _places(symbols, heads, 1)
+            if (least := int(places.min())) < end:
+                end = least
+                item = np.searchsorted(item, end - at)
+                left, symbols, places = left[:item], symbols[:item], places[:item]
+            order[places] = left
+            heads[symbols] = places + 1  # of equal symbols the last one counts
+        at, size = end, min(BLOCK, max(32, 2 * (end - at)))
     # the seeds go, and every S suffix is induced from the right
     for start in range(0, n, BLOCK):
         part = order[start:start + BLOCK]
         found = part >= 0
         found[found] = up[part[found]]
         part[found] = -1
-    tails = bounds[1:].copy() - 1
+    tails = bounds[1:] - 1
     at, size = n, BLOCK
     while at > 0:
         begin = max(0, at - size)
-        while True:
-            left = order[begin:at][::-1] - 1
-            left = left[left >= 0]
-            left = left[up[left]]
-            if not len(left):
-                break
-            places, _, symbols, counts = _places(text[left], tails, -1)
-            most = int(places.max())
-            if most < begin:
-                order[places] = left
-                tails[symbols] -= counts
-                break
-            begin = min(at - 1, max(most + 1, (begin + at) // 2))
-        at, size = begin, min(BLOCK, max(16, 2 * (at - begin)))
+        left = order[begin:at][::-1] - 1
+        item = np.flatnonzero(left >= 0)
+        item = item[up[left[item]]]
+        if len(item):
+            left = left[item]
+            symbols = text[left]
+            places = _places(symbols, tails, -1)
+            if (most := int(places.max())) >= begin:
+                begin = most + 1
+                item = np.searchsorted(item, at - begin)
+                left, symbols, places = left[:item], symbols[:item], places[:item]
+            order[places] = left
+            tails[symbols] = places - 1
+        at, size = begin, min(BLOCK, max(32, 2 * (at - begin)))
     return order
 
 

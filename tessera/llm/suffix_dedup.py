@@ -43,10 +43,10 @@ from tessera.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
-PIECE = 4 << 20  # bytes handled at a time; fits the position bits below
+PIECE = 1 << 20  # bytes handled at a time; fits the position bits below
 POSITION_BITS = 24
 BUCKET_BYTES = 24 << 20  # input bytes by bucket of anchors
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 3 << 19
 SAMPLE_DOCS = 4_000
 FREQUENT = 0.01
 
@@ -243,14 +243,14 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
-    """Documents of (order, text) batches, some PIECE bytes at a time."""
+    """Documents of (order, text) batches, 8 PIECE bytes at a time."""
     for batch in batches:
         held, total = [], 0
         for order, text in zip(batch.column("order").to_pylist(), batch.column("text"), strict=True):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
             held.append((order, data))
             total += len(data)
-            if total >= 2 * PIECE:
+            if total >= 8 * PIECE:
                 yield held
                 held, total = [], 0
         if held:
