@@ -59,8 +59,10 @@ def outside_range(c, lo, hi) -> Column:
 
 
 def lenient_double(c, default=None) -> Column:
-    """Parse as double; bad text -> null (or ``default``)."""
-    parsed = F.trim(_c(c).cast("string")).try_cast("double")
+    """Parse as double; bad text (also a number with a type suffix, such as ``12d``) -> null (or ``default``)."""
+    text = F.trim(_c(c).cast("string"))
+    number = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)$"
+    parsed = F.when(text.rlike(number), text.try_cast("double"))
     return parsed if default is None else F.coalesce(parsed, F.lit(float(default)))
 
 

@@ -37,6 +37,8 @@ def smote(df: DataFrame, id_col: str, label_col: str, vec_col: str, k: int = 5,
 
     A label of a single row cannot be interpolated and raises an error.
     """
+    if df.groupBy(id_col).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).limit(1).count():
+        raise ValueError(f"{id_col} must be unique: rows that share an id would be drawn together")
     sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__n"))
     stats = sizes.agg(F.max("__n").alias("mx"), F.min("__n").alias("mn")).first()
     if stats["mx"] is None or stats["mx"] == stats["mn"]:

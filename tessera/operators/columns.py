@@ -62,63 +62,31 @@ def fill_const(df: DataFrame, value: float = 0.0, columns: list[str] | None = No
     return df.withColumns(out)
 
 
-QUANTILE_BUCKETS = 1024
-
-
-def _value_at_rank(values: DataFrame, rank: int) -> float:
-    """The value of 0-based ``rank`` in ascending order of column ``v`` - exactly.
+def fit_medians(df: DataFrame, columns: list[str] | None = None) -> dict[str, float | None]:
+    """Exact (interpolated) median per column, NULL and NaN skipped; None without a value.
 
-    Approximate quantiles cut the column into ranges; the per-range counts (a
-    bounded table) locate the range holding ``rank``; only that range is
-    ordered, as (distinct value, count) rows through the bounded running sum.
+    All columns in one pass: (column, distinct value) counts, their running sums, and of these
+    the values that hold the two middle ranks.  No column is ever gathered in one task.
     """
     from tessera.operators import prefix
-    probs = [i / QUANTILE_BUCKETS for i in range(1, QUANTILE_BUCKETS)]
-    cuts = values.agg(F.percentile_approx("v", probs, 10000)).first()[0] or []
-    cuts_col = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
-    b = values.withColumn("b", F.size(F.filter(cuts_col, lambda x: x < F.col("v"))))
-    counts = sorted((r["b"], r["n"]) for r in b.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect())
-    before = 0
-    for bucket, n in counts:
-        if rank < before + n:
-            local = rank - before
-            dv = b.where(F.col("b") == bucket).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-            cum = prefix.running(dv, [], ["v"], {"cum": F.col("c")})
-            return cum.where(F.col("cum") > local).agg(F.min("v")).first()[0]
-        before += n
-    raise ValueError("rank out of range")
+    cols = columns or numeric_columns(df)
+    if not cols:
+        return {}
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    long = wide.unpivot([], [f"c{i}" for i in range(len(cols))], "c", "v")
+    counts = (long.where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("c", "v")
+              .agg(F.count(F.lit(1)).alias("n")))
+    cum = prefix.running(counts, ["c"], ["v"], {"cum": F.col("n")}, totals=True)
+    low, high = F.floor((F.col("cum_total") - 1) / 2), F.floor(F.col("cum_total") / 2)
+    middle = cum.groupBy("c").agg(F.min(F.when(F.col("cum") > low, F.col("v"))).alias("lo"),
+                                  F.min(F.when(F.col("cum") > high, F.col("v"))).alias("hi"))
+    found = {r["c"]: r["lo"] if r["lo"] == r["hi"] else (r["lo"] + r["hi"]) / 2.0 for r in middle.collect()}
+    return {c: found.get(f"c{i}") for i, c in enumerate(cols)}
 
 
 def exact_median(df: DataFrame, column: str) -> float | None:
-    """Interpolated median (mean of the two middle values for even counts) of a column,
-    NULL and NaN skipped.  Small inputs use Spark's exact ``median`` (its buffer
-    holds every distinct value in one task, so it is bounded by the input); large
-    inputs use the range-bucket method above, which never gathers a column."""
-    from tessera.operators import prefix
-    v = F.col(column).cast("double")
-    values = df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    if prefix.fits_one_task(values):
-        return values.agg(F.median("v")).first()[0]
-    n = values.count()
-    if n == 0:
-        return None
-    lo, hi = (n - 1) // 2, n // 2
-    a = _value_at_rank(values, lo)
-    return a if hi == lo else (a + _value_at_rank(values, hi)) / 2.0
-
-
-def fit_medians(df: DataFrame, columns: list[str] | None = None) -> dict[str, float | None]:
-    """Exact (interpolated) median per column, nulls and NaN skipped."""
-    cols = columns or numeric_columns(df)
-    from tessera.operators import prefix
-    if prefix.fits_one_task(df):  # one aggregate row for all columns
-        aggs = []
-        for c in cols:
-            v = F.col(c).cast("double")
-            aggs.append(F.median(F.when(~F.isnan(v), v)).alias(c))
-        row = df.agg(*aggs).first()
-        return {c: row[c] for c in cols}
-    return {c: exact_median(df, c) for c in cols}
+    """The exact (interpolated) median of one column."""
+    return fit_medians(df, [column])[column]
 
 
 def fill_median(df: DataFrame, columns: list[str] | None = None,

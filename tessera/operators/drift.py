@@ -5,7 +5,7 @@ Inputs are *long* tables: ``reference(feature, value)`` and
 ``batches(batch, feature, value)``.  ``to_long`` turns a wide table into one.
 The KS statistic is computed on distinct values with counts (map-side
 combined), so the unpivot never multiplies the shuffle by the feature count
-with raw rows, and running sums use the bounded two-level prefix.
+with raw rows, and running sums use the range-cut prefix.
 """
 
 from __future__ import annotations
@@ -26,19 +26,26 @@ def to_long(df: DataFrame, features: list[str], keep: list[str] | None = None,
     return casted.unpivot(keep, features, feature_col, value_col)
 
 
+def value_counts(long: DataFrame, feature_col: str = "feature", value_col: str = "value") -> DataFrame:
+    """(feature, value, c_ref): a reference in the form that ``ks_drift`` can use again and again."""
+    v = F.col(value_col)
+    return (long.where(v.isNotNull() & ~F.isnan(v)).groupBy(feature_col, value_col)
+            .agg(F.count(F.lit(1)).alias("c_ref")))
+
+
 def ks_drift(reference: DataFrame, batches: DataFrame, alpha: float = 0.05,
              feature_col: str = "feature", value_col: str = "value",
-             batch_col: str = "batch", buckets="auto") -> DataFrame:
+             batch_col: str = "batch", buckets: int | None = None) -> DataFrame:
     """Per (batch, feature): n_ref, n_batch, statistic D, p_value, drifted (p < alpha).
 
-    Only features present on both sides are tested; nulls and NaN are dropped.
+    Only features present on both sides are tested; nulls and NaN are dropped.  ``reference`` may
+    hold values or their counts (``value_counts``).
     """
     def clean(df):
         v = F.col(value_col)
         return df.where(v.isNotNull() & ~F.isnan(v))
 
-    ref = (clean(reference).groupBy(feature_col, value_col)
-           .agg(F.count(F.lit(1)).alias("c_ref")))
+    ref = reference if "c_ref" in reference.columns else value_counts(clean(reference), feature_col, value_col)
     bat = (clean(batches).groupBy(batch_col, feature_col, value_col)
            .agg(F.count(F.lit(1)).alias("c_bat")))
     # the reference counts are compared with every batch that has the feature
@@ -77,8 +84,8 @@ def drift_summary(ks: DataFrame, share_limit: float = 0.25, batch_col: str = "ba
 
 def column_shift(df: DataFrame, columns: list[str], magnitude: float = 5.0,
                  by: list[str] | None = None, where: Column | None = None,
-                 max_columns: int = 10) -> DataFrame:
-    """Add ``magnitude * stddev_samp`` to the first ``max_columns`` columns with std > 0.
+                 max_columns: int | None = None) -> DataFrame:
+    """Add ``magnitude * stddev_samp`` to ``columns`` (the first ``max_columns``, if given) with std > 0.
 
     The std is taken per ``by`` group (e.g. per batch) over the rows selected by
     ``where``; only those rows are shifted.  The per-group std table is joined

@@ -52,6 +52,24 @@ def global_importance(phi: DataFrame, feature: str = "feature", top: int | None
     return out.where(F.col("rank") <= top) if top else out
 
 
+def top_k_linear(df: DataFrame, id_cols: list[str], weights: dict[str, float], k: int = 15,
+                 means: dict[str, float] | None = None) -> DataFrame:
+    """(ids..., feature, phi, rank) of each row's ``k`` largest |phi| of a linear score; ties by name.
+
+    Ranked inside the row: nothing is shuffled, and rows may share their ids.
+    """
+    if means is None:
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in weights]).first()
+        means = {c: row[c] for c in weights}
+    every = []
+    for c, w in weights.items():
+        phi = F.lit(float(w)) * (F.col(c).cast("double") - F.lit(float(means[c] or 0.0)))
+        every.append(F.struct((-F.abs(phi)).alias("order"), F.lit(c).alias("feature"), phi.alias("phi")))
+    best = F.slice(F.array_sort(F.array(*every)), 1, k)
+    ranked = df.select(*id_cols, F.posexplode(best).alias("rank", "best"))
+    return ranked.select(*id_cols, "best.feature", "best.phi", (F.col("rank") + 1).alias("rank"))
+
+
 def top_k_per_row(phi: DataFrame, id_cols: list[str], k: int = 15, feature: str = "feature") -> DataFrame:
     w = Window.partitionBy(*id_cols).orderBy(F.abs("phi").desc(), F.col(feature))
     return phi.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

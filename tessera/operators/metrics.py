@@ -105,7 +105,7 @@ def _join_total(sc: DataFrame, tot: DataFrame, by: list[str]) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label, score, by: list[str] | None = None,
-            buckets="auto") -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """Mann-Whitney AUC with half-counted ties; null when one class is absent."""
     by = by or []
     sc = score_counts(df, label, score, by)
@@ -121,7 +121,7 @@ def roc_auc(df: DataFrame, label, score, by: list[str] | None = None,
 
 
 def roc_points(df: DataFrame, label, score, by: list[str] | None = None,
-               buckets="auto") -> DataFrame:
+               buckets: int | None = None) -> DataFrame:
     """One row per distinct score, descending: cumulative tp, fp and P, N."""
     by = by or []
     sc = score_counts(df, label, score, by)

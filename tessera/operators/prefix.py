@@ -1,209 +1,89 @@
 """Exact running aggregates without a single-task window.
 
-A window ``sum() over (order by x)`` with no (or a skewed) ``partition by``
-moves every row of a partition key into one task.  At 100 TB that is fatal,
-and a hot key may hold a third of all rows.  The two-level prefix here keeps
-the result exact while bounding the work of each window task:
-
-1. cut each key's order range into ``buckets`` ranges (approximate quantiles,
-   or a caller-supplied monotone bucket such as a hash range);
-2. aggregate per (key, bucket) -> a table of ``#keys x buckets`` rows, and
-   take the running aggregate over *buckets* there (tiny windows);
-3. join the bucket offsets back and finish with a window partitioned by
-   (key, bucket), so each task sees about 1/buckets of a key's rows.
-
-Used by KS, AUC, ROC/PR curves, average precision, row numbering for splits,
-batches, version numbers and running maxima.
+A window ``sum() over (order by x)`` with no (or a skewed) ``partition by`` moves every row of
+a key into one task.  At 100 TB that is fatal, and a hot key may hold a third of all rows.
+Here the rows are range-partitioned by (keys, order), so that a hot key is cut by its order:
+
+1. ``repartitionByRange`` on the keys and the order, with the window's own directions and null
+   places; the partition's number is kept with each row and the result written to the shared
+   checkpoint folder (a rerun task reads the same ranges);
+2. one row per (partition, key) with the key's aggregate there.  A key needs an offset only if it
+   spans partitions: at most two such keys touch each partition, so this table has at most two
+   rows a partition, whatever the data, and is broadcast;
+3. a window per (partition, key), plus the offset of the key's earlier partitions.
+
+There is one path for every size.  Used by KS, AUC, ROC/PR curves, average precision, medians,
+row numbering for splits, batches, version numbers and running maxima.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.session import cut_lineage
 
-DEFAULT_BUCKETS = 64
-_BKT = "__bkt"
-_CUTS = "__cuts"
-# Inputs whose optimizer size estimate is at most this many bytes may use one
-# window task per key: that task is bounded by the whole (small) input.
-SINGLE_TASK_BYTES_CONF = "tessera.prefix.singleTaskBytes"
-SINGLE_TASK_BYTES_DEFAULT = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (an upper-bound-style statistic), or None."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. Connect)
-        return None
-
-
-SINGLE_TASK_ROWS_CONF = "tessera.prefix.singleTaskRows"
-SINGLE_TASK_ROWS_DEFAULT = 4_000_000
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_BYTES_CONF, str(SINGLE_TASK_BYTES_DEFAULT)))
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
-
-
-def _choose(df: DataFrame) -> tuple[DataFrame, bool]:
-    """(input, single-task?) - the estimate decides when it is small; otherwise
-    (estimates of joins are products of their inputs, so they overshoot) the
-    input is checkpointed once to the shared folder and its real row count
-    decides.  The checkpoint is reused by whichever path follows."""
-    if fits_one_task(df):
-        return df, True
-    df = cut_lineage(df)
-    limit = int(df.sparkSession.conf.get(SINGLE_TASK_ROWS_CONF, str(SINGLE_TASK_ROWS_DEFAULT)))
-    return df, df.count() <= limit
-
-
-def _numeric_order(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.StringType):
-        # first 8 bytes as a number keeps string order for hex / ascii keys
-        return F.conv(F.substring(F.hex(c), 1, 13), 16, 10).cast("double")
-    return c.cast("double")
+_PART = "__part"
 
 
 def _agg(how: str, c: Column) -> Column:
     return {"sum": F.sum, "max": F.max, "min": F.min}[how](c)
 
 
-HOT_KEY_ROWS_CONF = "tessera.prefix.hotKeyRows"
-HOT_KEY_ROWS_DEFAULT = 1_000_000
-
-
-def add_bucket(df: DataFrame, keys: list[str], order_col: str, buckets: int,
-               descending: bool = False, hot_rows: int = 0) -> DataFrame:
-    """Add ``__bkt``: a range bucket of ``order_col`` per key, monotone in the order.
-
-    Only keys with more than ``hot_rows`` rows are cut into ranges (there are
-    at most n / hot_rows of them); every other key keeps bucket 0, whose window
-    task is bounded by ``hot_rows``."""
-    v = _numeric_order(df, order_col)
-    probs = [i / buckets for i in range(1, buckets)]
-    if not probs:
-        return df.withColumn(_BKT, F.lit(0))
-    if keys:
-        src = df
-        if hot_rows > 0:
-            hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__kn")).where(F.col("__kn") > hot_rows)
-            src = df.join(hot.select(*keys), on=keys, how="left_semi")
-        cuts = (src.groupBy(*keys)
-                .agg(F.percentile_approx(v, probs, 10000).alias(_CUTS)))
-        df = df.join(cuts, on=keys, how="left")
-        cuts_col = F.coalesce(F.col(_CUTS), F.array().cast("array<double>"))
-    else:
-        # one small array (buckets-1 values) is a fitted parameter, not data
-        row = df.agg(F.percentile_approx(v, probs, 10000).alias(_CUTS)).first()
-        vals = [float(x) for x in (row[0] or [])]
-        cuts_col = F.array(*[F.lit(x) for x in vals]) if vals else F.array().cast("array<double>")
-    vv = v
-    if descending:
-        bkt = F.size(F.filter(cuts_col, lambda x: x > vv))
-    else:
-        bkt = F.size(F.filter(cuts_col, lambda x: x < vv))
-    df = df.withColumn(_BKT, bkt.cast("int"))
-    return df.drop(_CUTS) if keys else df
+def _merged(how: str, a: Column, b: Column) -> Column:
+    if how == "sum":
+        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+    return F.greatest(a, b) if how == "max" else F.least(a, b)
 
 
 def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Column],
-            how: str = "sum", descending: bool = False, buckets: int | str = "auto",
-            bucket: Column | None = None, inclusive: bool = True,
-            totals: bool = False, hot_rows: int | None = None) -> DataFrame:
+            how: str = "sum", descending: bool = False, buckets: int | None = None,
+            inclusive: bool = True, totals: bool = False) -> DataFrame:
     """Add running aggregates ``{out_name: measure}`` over ``order`` within ``keys``.
 
-    ``order`` must be unique within ``keys`` (aggregate ties first, or append an
-    id).  ``bucket`` may supply a monotone bucket (e.g. a hash range) and skips
-    the quantile pass.  ``inclusive=False`` gives the aggregate of the rows
-    strictly before the current one.  ``totals=True`` also adds
-    ``<out_name>_total``: the aggregate over the whole key group.
-
-    ``buckets="auto"`` uses one window task per key when the optimizer's size
-    estimate of the input is within ``tessera.prefix.singleTaskBytes``, and the
-    two-level form with ``DEFAULT_BUCKETS`` otherwise.
+    ``order`` (names, or sort columns) must be unique within ``keys`` (aggregate ties first, or
+    append an id); nulls stand where a plain window puts them, and null keys are a key.
+    ``buckets`` is the number of ranges, the session's shuffle partitions unless given.
+    ``inclusive=False`` gives the aggregate of the rows strictly before the current one.
+    ``totals=True`` also adds ``<out_name>_total``: the aggregate over the whole key.
     """
     keys = list(keys)
-    order_cols = [o if isinstance(o, str) else o for o in order]
-    first = order_cols[0]
     tmp = {f"__m_{i}": m for i, m in enumerate(measures.values())}
+    sort = [(F.col(o).desc() if descending else F.col(o).asc()) if isinstance(o, str) else o for o in order]
+    ranges = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df = df.withColumns(tmp)
-    materialised = False
-    if hot_rows is None:  # explicit bucket counts (tests, callers) cut every key
-        hot_rows = (int(df.sparkSession.conf.get(HOT_KEY_ROWS_CONF, str(HOT_KEY_ROWS_DEFAULT)))
-                    if buckets == "auto" else 0)
-    if buckets == "auto":
-        before = df
-        df, single = _choose(df)
-        materialised = df is not before
-        buckets = DEFAULT_BUCKETS
-    else:
-        single = buckets == 1
-    sort = [(F.col(o).desc() if descending else F.col(o).asc()) if isinstance(o, str) else o
-            for o in order_cols]
-    if single:
-        w = Window.partitionBy(*keys).orderBy(*sort) if keys else Window.orderBy(*sort)
-        w = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        outs = {}
-        for (name, _), t in zip(measures.items(), tmp):
-            local = _agg(how, F.col(t)).over(w)
-            outs[name] = F.coalesce(local, F.lit(0)) if how == "sum" else local
-        if totals:
-            wt = Window.partitionBy(*keys) if keys else Window.partitionBy()
-            for (name, _), t in zip(measures.items(), tmp):
-                outs[f"{name}_total"] = _agg(how, F.col(t)).over(wt)
-        return df.withColumns(outs).drop(*tmp)
-    # the input is used three times below (cuts, bucket totals, final window):
-    # write it once to the shared checkpoint folder instead of recomputing it
-    if not materialised:
+    if ranges > 1:  # the ranges are found by a sample: read the input once, not twice
         df = cut_lineage(df)
-    if bucket is not None:
-        df = df.withColumn(_BKT, bucket)
-    else:
-        df = add_bucket(df, keys, first, buckets, descending, hot_rows)
-
-    per_bucket = df.groupBy(*keys, _BKT).agg(*[_agg(how, F.col(t)).alias(t) for t in tmp])
-    wb = Window.partitionBy(*keys).orderBy(F.col(_BKT)) if keys else Window.orderBy(F.col(_BKT))
-    wb = wb.rowsBetween(Window.unboundedPreceding, -1)
-    # the bucket table has at most ``buckets`` rows per key: these windows are small
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    extra = [_agg(how, F.col(t)).over(wk).alias(f"{t}_tot") for t in tmp] if totals else []
-    offsets = per_bucket.select(*keys, _BKT, *[_agg(how, F.col(t)).over(wb).alias(f"{t}_off")
-                                                for t in tmp], *extra)
-    df = df.join(offsets, on=keys + [_BKT], how="left")
-
-    w = Window.partitionBy(*keys, _BKT).orderBy(*sort)
-    w = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    dealt = cut_lineage(df.repartitionByRange(ranges, *[F.col(k).asc() for k in keys], *sort)
+                        .withColumn(_PART, F.spark_partition_id()))
+
+    per_part = dealt.groupBy(_PART, *keys).agg(*[_agg(how, F.col(t)).alias(t) for t in tmp])
+    spread = per_part.groupBy(*keys).agg(F.count(F.lit(1)).alias("__parts"),
+                                         F.collect_list(F.struct(_PART, *tmp)).alias("__all")) \
+        .where(F.col("__parts") > 1).select(*keys, F.inline("__all"))  # few rows: see the module's text
+    up_to = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = spread.select(F.col(_PART).alias("__o_part"), *[F.col(k).alias(f"__o_{i}") for i, k in enumerate(keys)],
+                            *[_agg(how, F.col(t)).over(up_to).alias(f"{t}_off") for t in tmp],
+                            *[_agg(how, F.col(t)).over(whole).alias(f"{t}_tot") for t in tmp])
+    same = F.col(_PART) == F.col("__o_part")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__o_{i}"))
+    joined = dealt.join(F.broadcast(offsets), same, "left")
+
+    here = Window.partitionBy(_PART, *keys)
+    w = here.orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     outs = {}
-    for (name, _), t in zip(measures.items(), tmp):
-        local = _agg(how, F.col(t)).over(w)
-        off = F.col(f"{t}_off")
-        if how == "sum":
-            outs[name] = F.coalesce(local, F.lit(0)) + F.coalesce(off, F.lit(0))
-        elif how == "max":
-            outs[name] = F.greatest(local, off)
-        else:
-            outs[name] = F.least(local, off)
+    for name, t in zip(measures, tmp, strict=True):
+        outs[name] = _merged(how, _agg(how, F.col(t)).over(w), F.col(f"{t}_off"))
         if totals:
-            outs[f"{name}_total"] = F.col(f"{t}_tot")
-    df = df.withColumns(outs)
-    return df.drop(_BKT, *tmp, *[f"{t}_off" for t in tmp], *[f"{t}_tot" for t in tmp])
+            total = F.when(F.col("__o_part").isNotNull(), F.col(f"{t}_tot")).otherwise(_agg(how, F.col(t)).over(here))
+            outs[f"{name}_total"] = total
+    return joined.withColumns(outs).drop(_PART, "__o_part", *[f"__o_{i}" for i in range(len(keys))], *tmp,
+                                         *[f"{t}_off" for t in tmp], *[f"{t}_tot" for t in tmp])
 
 
 def row_number(df: DataFrame, keys: list[str], order: list, name: str = "rn",
-               buckets: int | str = "auto", bucket: Column | None = None,
-               descending: bool = False) -> DataFrame:
+               buckets: int | None = None, descending: bool = False) -> DataFrame:
     """1-based row number within ``keys`` by ``order`` (unique), scalable form."""
-    return running(df, keys, order, {name: F.lit(1).cast("long")}, "sum",
-                   descending=descending, buckets=buckets, bucket=bucket)
+    return running(df, keys, order, {name: F.lit(1).cast("long")}, "sum", descending=descending, buckets=buckets)

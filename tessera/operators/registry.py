@@ -6,8 +6,9 @@
   ``(model, version, stage, seq...)``; the current state is derived.
 
 "Best" and "latest" are grouped max-by aggregates (partial aggregation per
-partition), never a sort of the whole log; numbering uses the bounded
-two-level prefix, so a model with a third of all events is still split.
+partition), never a sort of the whole log; numbering uses the range-cut
+prefix, so a model with a third of all events is still split.  Ids may be of any
+orderable type, text included.
 """
 
 from __future__ import annotations
@@ -17,15 +18,14 @@ from pyspark.sql import functions as F
 
 from tessera.operators import prefix
 
-PARAM_MAX_CHARS = 250
 PRODUCTION, STAGING, ARCHIVED = "Production", "Staging", "Archived"
 
 
-def log_params(runs: DataFrame, run_id: str, params: list[str]) -> DataFrame:
-    """(run_id, key, value): one row per parameter, values cut to 250 characters."""
+def log_params(runs: DataFrame, run_id: str, params: list[str], max_chars: int | None = None) -> DataFrame:
+    """(run_id, key, value): one row per parameter, values whole (or cut to ``max_chars``)."""
     casted = runs.select(run_id, *[F.col(p).cast("string").alias(p) for p in params])
     long = casted.unpivot([run_id], params, "key", "value")
-    return long.withColumn("value", F.substring("value", 1, PARAM_MAX_CHARS))
+    return long if max_chars is None else long.withColumn("value", F.substring("value", 1, max_chars))
 
 
 def log_metrics(runs: DataFrame, run_id: str, metrics: list[str]) -> DataFrame:
@@ -41,39 +41,65 @@ def running_best(trials: DataFrame, order: list[str], metric: str, by: list[str]
 
 
 def best_by(df: DataFrame, by: list[str], rank: list, payload: list[str]) -> DataFrame:
-    """One row per ``by`` group: the ``payload`` of the row with the largest ``rank`` tuple.
+    """One row per ``by`` group: the ``payload`` of the row with the smallest ``rank`` tuple.
 
-    ``rank`` entries are columns whose natural order means "better"; nulls rank
-    last.  A grouped max over a struct: partial aggregation, no sort, no window.
+    A grouped min over a struct: partial aggregation, no sort, no window.
     """
-    keyed = [F.struct(F.col(r).isNotNull().alias("nn"), F.col(r).alias("v")) if isinstance(r, str)
-             else r for r in rank]
-    best = df.groupBy(*by).agg(F.max(F.struct(*[k.alias(f"r{i}") for i, k in enumerate(keyed)],
-                                              *[F.col(p) for p in payload])).alias("__b"))
+    order = F.struct(*[c.alias(f"r{i}") for i, c in enumerate(rank)])
+    best = df.groupBy(*by).agg(F.min_by(F.struct(*payload), order).alias("__b"))
     return best.select(*by, *[F.col(f"__b.{p}").alias(p) for p in payload])
 
 
+def _highest(metric: str) -> list:
+    """Rank columns of the highest metric; missing ones (null, NaN) last."""
+    m = F.col(metric)
+    return [m.isNull() | F.isnan(m.cast("double")), -m]
+
+
 def best_run(runs: DataFrame, experiment: str, run_id: str, metric: str,
              parent: str | None = None) -> DataFrame:
     """Top-level run with the highest metric per experiment (missing metric last, then lowest id)."""
     top = runs if parent is None else runs.where(F.col(parent).isNull())
-    ranked = top.withColumn("__neg_id", -F.col(run_id))
-    return best_by(ranked, [experiment], [metric, "__neg_id"], [run_id, metric])
+    return best_by(top, [experiment], [*_highest(metric), F.col(run_id)], [run_id, metric])
 
 
 def best_run_fallback(runs: DataFrame, experiment: str, run_id: str, metric: str,
                       preferred, parent: str | None = None) -> DataFrame:
     """Prefer runs matching ``preferred`` (e.g. a model type); fall back to any top-level run."""
     top = runs if parent is None else runs.where(F.col(parent).isNull())
-    ranked = top.withColumns({"__pref": F.coalesce(preferred, F.lit(False)), "__neg_id": -F.col(run_id)})
-    return best_by(ranked, [experiment], [F.struct(F.col("__pref")), metric, "__neg_id"],
-                   [run_id, metric, "__pref"]).withColumnRenamed("__pref", "preferred")
+    ranked = top.withColumn("preferred", F.coalesce(preferred, F.lit(False)))
+    return best_by(ranked, [experiment], [~F.col("preferred"), *_highest(metric), F.col(run_id)],
+                   [run_id, metric, "preferred"])
+
+
+def production_else_best(stages: DataFrame, runs: DataFrame, experiment: str, run_id: str, metric: str,
+                         stage: str = "stage", parent: str | None = None) -> DataFrame:
+    """The run to monitor per experiment: the one in Production in ``stages`` (experiment, run_id,
+    stage), else the best run.  Of several in Production the lowest id counts."""
+    live = (stages.where(F.col(stage) == PRODUCTION).groupBy(experiment).agg(F.min(run_id).alias("__live")))
+    best = best_run(runs, experiment, run_id, metric, parent).select(experiment, F.col(run_id).alias("__best"))
+    both = best.join(live, on=experiment, how="full")
+    return both.select(experiment, F.coalesce("__live", "__best").alias(run_id), F.col("__live").isNotNull().alias("in_production"))
+
+
+def append_runs(path: str, runs: DataFrame, run_id: str, params: list[str], metrics: list[str],
+                tags: dict[str, str] | None = None, parent: str | None = None) -> None:
+    """Append runs to the long tables ``params``, ``metrics`` and ``tags`` (run_id, key, value) below
+    ``path``; the parent run is kept as the tag ``parent``."""
+    log_params(runs, run_id, params).write.mode("append").parquet(f"{path}/params")
+    log_metrics(runs, run_id, metrics).write.mode("append").parquet(f"{path}/metrics")
+    kept = {k: F.lit(v) for k, v in (tags or {}).items()} | ({"parent": F.col(parent).cast("string")} if parent else {})
+    if kept:
+        wide = runs.select(run_id, *[v.alias(f"__t{i}") for i, v in enumerate(kept.values())])
+        names = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"__t{i}").alias("value")) for i, k in enumerate(kept)])
+        long = wide.select(run_id, F.inline(names)).where(F.col("value").isNotNull())
+        long.write.mode("append").parquet(f"{path}/tags")
 
 
 def best_trial(trials: DataFrame, by: list[str], trial_id: str, loss: str) -> DataFrame:
-    """Trial with the lowest loss per group (ties: lowest id)."""
-    ranked = trials.withColumns({"__neg_loss": -F.col(loss), "__neg_id": -F.col(trial_id)})
-    return best_by(ranked, by, ["__neg_loss", "__neg_id"], [trial_id, loss])
+    """Trial with the lowest loss per group (missing losses last, then lowest id)."""
+    v = F.col(loss)
+    return best_by(trials, by, [v.isNull() | F.isnan(v.cast("double")), v, F.col(trial_id)], [trial_id, loss])
 
 
 def version_numbers(registrations: DataFrame, model: str, order: list[str],
@@ -84,14 +110,13 @@ def version_numbers(registrations: DataFrame, model: str, order: list[str],
 
 def current_stage(events: DataFrame, model: str, version: str, stage: str, order: list[str]) -> DataFrame:
     """Current stage per (model, version): the last event's stage, where of several versions in
-    Production only the newest stays and the others read Archived."""
-    last = events.groupBy(model, version).agg(
-        F.max_by(F.col(stage), F.struct(*order)).alias("__stage"))
-    newest = (last.where(F.col("__stage") == PRODUCTION).groupBy(model)
-              .agg(F.max(version).alias("__prod_version")))
-    out = last.join(newest, on=model, how="left")
-    st = (F.when((F.col("__stage") == PRODUCTION) & (F.col(version) < F.col("__prod_version")),
-                 F.lit(ARCHIVED)).otherwise(F.col("__stage")))
+    Production only the last promoted one stays and the others read Archived."""
+    last = events.groupBy(model, version).agg(F.max(F.struct(*order, F.col(stage).alias("__stage"))).alias("__e"))
+    live = F.col("__e.__stage") == PRODUCTION
+    newest = last.where(live).groupBy(model).agg(F.max_by(F.col(version), F.col("__e")).alias("__live"))
+    newest = newest.withColumnRenamed(model, "__model")
+    out = last.join(newest, F.col(model).eqNullSafe(F.col("__model")), "left")
+    st = F.when(live & ~F.col(version).eqNullSafe(F.col("__live")), F.lit(ARCHIVED)).otherwise(F.col("__e.__stage"))
     return out.select(model, version, st.alias(stage))
 
 
@@ -108,7 +133,7 @@ def next_version(registry: DataFrame, model: str, version: str = "version",
 def promote_latest(events: DataFrame, model: str, version: str, stage: str, seq: str) -> DataFrame:
     """Append-only promotion: for each model's newest version, a Staging then a
     Production event after the last sequence number.  ``current_stage`` then
-    reads the older Production versions as Archived."""
+    reads the other Production versions as Archived."""
     latest = events.groupBy(model).agg(F.max(version).alias(version), F.max(seq).alias("__last"))
     steps = latest.select(model, version, F.explode(F.array(
         F.struct(F.lit(STAGING).alias("s"), F.lit(1).alias("o")),

@@ -10,20 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.hashing import DEFAULT_SEED, hash_bucket, hash_hex
+from tessera.functions.hashing import DEFAULT_SEED, hash_hex
 from tessera.operators import prefix
 
-HASH_BUCKETS = 256
-
 
 def hash_rank(df: DataFrame, id_col: str, keys: list[str] | None = None, name: str = "rn",
-              seed: int = DEFAULT_SEED, tag: str = "", buckets: int | str = "auto") -> DataFrame:
+              seed: int = DEFAULT_SEED, tag: str = "", buckets: int | None = None) -> DataFrame:
     """1-based rank within ``keys`` by (md5(seed|tag|id), id)."""
     keys = keys or []
     df = df.withColumn("__h", hash_hex(F.col(id_col), tag, seed))
-    out = prefix.row_number(df, keys, ["__h", id_col], name=name, buckets=buckets,
-                            bucket=hash_bucket(F.col(id_col), HASH_BUCKETS, tag, seed))
-    return out.drop("__h")
+    return prefix.row_number(df, keys, ["__h", id_col], name=name, buckets=buckets).drop("__h")
 
 
 def stratified_split(df: DataFrame, id_col: str, label_col: str, test_size: float = 0.15,
@@ -50,15 +46,17 @@ def stratified_split(df: DataFrame, id_col: str, label_col: str, test_size: floa
 def sample_fixed(df: DataFrame, id_col: str, k: int, seed: int = DEFAULT_SEED,
                  by: list[str] | None = None) -> DataFrame:
     """Uniform sample of exactly min(k, n) rows per ``by`` group, without replacement."""
-    ranked = hash_rank(df, id_col, by or [], name="__rn", seed=seed, tag="s")
-    return ranked.where(F.col("__rn") <= F.lit(k)).drop("__rn")
+    hashed = df.withColumn("__h", hash_hex(F.col(id_col), "s", seed))
+    if not by:  # top k per task, then of those
+        return hashed.orderBy("__h", id_col).limit(k).drop("__h")
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("__h", id_col))  # k a group and task at most
+    return hashed.withColumn("__rn", rank).where(F.col("__rn") <= F.lit(k)).drop("__rn", "__h")
 
 
-def batch_slice(df: DataFrame, order: list[str], n_batches: int = 5, max_size: int | None = 5000,
+def batch_slice(df: DataFrame, order: list[str], n_batches: int = 5, max_size: int | None = None,
                 batch_col: str = "batch") -> DataFrame:
-    """Contiguous batches by ``order``: size = min(max_size, n // n_batches),
+    """Contiguous batches by ``order`` of n // n_batches rows (at most ``max_size``, if given):
     batch i (1-based) holds ranks ((i-1)*size, i*size]; the remainder is left out.
-    ``max_size=None`` applies no cap (only the < n_batches remainder rows drop).
     """
     n = df.count()
     size = n // n_batches if max_size is None else min(max_size, n // n_batches)

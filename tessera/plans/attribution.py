@@ -14,7 +14,7 @@ from tessera.plans.common import rounded, table
 LINEAR_WEIGHTS = {"l_quantity": 0.15 / 7, "l_extendedprice": 1e-4 / 7, "l_discount": -22 / 7, "l_tax": 13.5 / 7}
 LINEAR_INTERCEPT = -3.6 / 7
 TOP_PER_ROW = 2
-N_MODEL_COLUMNS = 16
+N_MODEL_COLUMNS = 64
 MODEL_COLUMNS = [f"f{i:02d}" for i in range(N_MODEL_COLUMNS)]
 SCORE_WEIGHTS = {c: ((-1.0) ** i) / (i + 1) for i, c in enumerate(MODEL_COLUMNS)}
 
@@ -36,13 +36,13 @@ def q_shapley_global(spark, sf):
 
 
 def q_top_features(spark, sf):
-    top = X.top_k_per_row(linear_phi(spark, sf), ["l_orderkey", "l_linenumber"], TOP_PER_ROW)
+    top = X.top_k_linear(_line(spark, sf), ["l_orderkey", "l_linenumber"], LINEAR_WEIGHTS, TOP_PER_ROW)
     return rounded(top.select("l_orderkey", "l_linenumber", "feature", "phi", "rank"))
 
 
 def _scored(spark, sf):
     e = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
-    e = e.withColumn("values", F.slice("embedding", 1, F.col("label") + 10))  # ragged input rows
+    e = e.withColumn("values", F.slice("embedding", 1, F.lit(N_MODEL_COLUMNS) - F.col("label")))  # ragged input rows
     aligned = SC.align_positional(e, "values", MODEL_COLUMNS, keep=["vec_id"])
     return SC.score_table(aligned, SC.linear_scorer(SCORE_WEIGHTS))
 
@@ -65,17 +65,17 @@ QUERIES = {
 
 _cols = list(LINEAR_WEIGHTS)
 _PHI = ("WITH m AS (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in _cols) + " FROM lineitem),\n"
-        "p AS (SELECT l_orderkey, l_linenumber, " + f"{LINEAR_INTERCEPT!r}"
+        "p AS MATERIALIZED (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, " + f"{LINEAR_INTERCEPT!r}"
         + "".join(f" + {LINEAR_WEIGHTS[c]!r} * {c}" for c in _cols) + " AS prediction, "
         + ", ".join(_cols) + " FROM lineitem),\n"
         "phi AS (" + "\nUNION ALL ".join(
-            f"SELECT l_orderkey, l_linenumber, prediction, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, "
+            f"SELECT rid, l_orderkey, l_linenumber, prediction, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, "
             f"{LINEAR_WEIGHTS[c]!r} * ({c} - m_{c}) AS phi, "
             f"({LINEAR_INTERCEPT!r}" + "".join(f" + {LINEAR_WEIGHTS[k]!r} * m_{k}" for k in _cols) + ") AS base "
             "FROM p, m" for c in _cols) + ")\n")
 
 _ALIGN = ("WITH a AS (SELECT vec_id, " + ", ".join(
-    f"CASE WHEN label + 10 >= {i + 1} THEN CAST(embedding[{i + 1}] AS DOUBLE) ELSE 0.0 END AS {c}"
+    f"CASE WHEN {N_MODEL_COLUMNS} - label >= {i + 1} THEN CAST(embedding[{i + 1}] AS DOUBLE) ELSE 0.0 END AS {c}"
     for i, c in enumerate(MODEL_COLUMNS)) + " FROM embeddings),\n"
     "s AS (SELECT vec_id, 1.0 / (1.0 + exp(-(0.0" + "".join(
         f" + {SCORE_WEIGHTS[c]!r} * {c}" for c in MODEL_COLUMNS) + "))) AS score FROM a),\n"
@@ -88,7 +88,7 @@ ORACLE = {
   CAST(row_number() OVER (ORDER BY mean_abs_phi DESC, feature) AS INTEGER) AS rank
 FROM (SELECT feature, avg(abs(phi)) AS mean_abs_phi FROM phi GROUP BY feature) g""",
     "top_features": _PHI + f"""SELECT l_orderkey, l_linenumber, feature, round(phi, 6) AS phi, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY abs(phi) DESC, feature) AS INTEGER)
+  SELECT *, CAST(row_number() OVER (PARTITION BY rid ORDER BY abs(phi) DESC, feature) AS INTEGER)
     AS rank FROM phi) WHERE rank <= {TOP_PER_ROW}""",
     "align_score": _ALIGN + f"""SELECT vec_id, round(score, 6) AS score, prediction,
   CASE WHEN prediction = 1 THEN '{SC.POSITIVE_TEXT}' ELSE '{SC.NEGATIVE_TEXT}' END AS label_text FROM t""",

@@ -25,7 +25,7 @@ def _orders(spark, sf):
 def _runs(spark, sf):
     o = _orders(spark, sf)
     return o.select(
-        F.col("o_orderkey").alias("run_id"), F.col("o_orderpriority").alias("experiment"),
+        F.concat(F.lit("run-"), F.col("o_orderkey")).alias("run_id"), F.col("o_orderpriority").alias("experiment"),
         F.when(F.col("o_orderpriority") != NO_METRIC_EXPERIMENT, F.col("o_totalprice")).alias("metric"),
         F.when(F.col("o_orderstatus") == "P", F.col("o_custkey")).alias("parent_id"),
         F.col("o_orderstatus").alias("model_type"))
@@ -72,7 +72,17 @@ def q_current_stage(spark, sf):
     return R.current_stage(ev, "model", "version", "stage", ["o_orderdate", "o_orderkey"])
 
 
+def q_production_else_best(spark, sf):
+    runs = _runs(spark, sf)
+    o = _orders(spark, sf)
+    stages = o.where("o_orderpriority in ('1-URGENT', '3-MEDIUM') and o_custkey % 2 = 0").select(
+        F.col("o_orderpriority").alias("experiment"), F.concat(F.lit("run-"), F.col("o_orderkey")).alias("run_id"),
+        F.when(F.col("o_orderstatus") == "F", "Production").otherwise("Staging").alias("stage"))
+    return R.production_else_best(stages, runs, "experiment", "run_id", "metric", parent="parent_id")
+
+
 QUERIES = {
+    "production_else_best": q_production_else_best,
     "run_log_append": q_run_log_append,
     "running_best": q_running_best,
     "best_trial": q_best_trial,
@@ -83,13 +93,20 @@ QUERIES = {
 }
 
 RUNS = f"""
-runs AS (SELECT o_orderkey AS run_id, o_orderpriority AS experiment,
+runs AS (SELECT 'run-' || o_orderkey AS run_id, o_orderpriority AS experiment,
     CASE WHEN o_orderpriority <> '{NO_METRIC_EXPERIMENT}' THEN o_totalprice END AS metric,
     CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS parent_id, o_orderstatus AS model_type FROM orders)
 """
 
 ORACLE = {
-    "run_log_append": """SELECT o_orderkey, key, substr(value, 1, 250) AS value FROM (
+    "production_else_best": "WITH " + RUNS + """,
+best AS (SELECT experiment, run_id FROM (SELECT *, row_number() OVER (PARTITION BY experiment
+    ORDER BY metric DESC NULLS LAST, run_id) AS rn FROM runs WHERE parent_id IS NULL) WHERE rn = 1),
+live AS (SELECT o_orderpriority AS experiment, min('run-' || o_orderkey) AS run_id FROM orders
+    WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM') AND o_custkey % 2 = 0 AND o_orderstatus = 'F' GROUP BY 1)
+SELECT coalesce(b.experiment, l.experiment) AS experiment, coalesce(l.run_id, b.run_id) AS run_id,
+       l.run_id IS NOT NULL AS in_production FROM best b FULL JOIN live l ON b.experiment = l.experiment""",
+    "run_log_append": """SELECT o_orderkey, key, value FROM (
     SELECT o_orderkey, 'o_orderpriority' AS key, o_orderpriority AS value FROM orders
     UNION ALL SELECT o_orderkey, 'o_orderstatus', o_orderstatus FROM orders
     UNION ALL SELECT o_orderkey, 'note', repeat(o_orderpriority, 30) FROM orders)""",
@@ -114,9 +131,10 @@ SELECT experiment, run_id, round(metric, 6) AS metric, preferred FROM (
     "current_stage": """WITH ev AS (SELECT o_custkey AS model, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS version,
     CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' WHEN 'P' THEN 'Archived' END AS stage,
     o_orderdate, o_orderkey FROM orders),
-last AS (SELECT model, version, stage FROM (SELECT *, row_number() OVER (PARTITION BY model, version
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model, version
     ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM ev) WHERE rn = 1),
-newest AS (SELECT model, max(version) AS pv FROM last WHERE stage = 'Production' GROUP BY model)
-SELECT l.model, l.version, CASE WHEN l.stage = 'Production' AND l.version < n.pv THEN 'Archived' ELSE l.stage END AS stage
+newest AS (SELECT model, version AS pv FROM (SELECT *, row_number() OVER (PARTITION BY model
+    ORDER BY o_orderdate DESC, o_orderkey DESC) AS pn FROM last WHERE stage = 'Production') WHERE pn = 1)
+SELECT l.model, l.version, CASE WHEN l.stage = 'Production' AND l.version <> n.pv THEN 'Archived' ELSE l.stage END AS stage
 FROM last l LEFT JOIN newest n ON l.model = n.model""",
 }

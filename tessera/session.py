@@ -36,17 +36,20 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app_name: str = "tessera") -> SparkSession:
     """Build (or reuse) a session with the settings every operator assumes.
 
-    On a cluster the master and the partition count come from spark-submit;
-    locally they default to ``local[*]`` and the core count.
+    On a cluster the master, the partition count and the driver's memory come from
+    spark-submit and are left as they are; locally the partitions default to the core count.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
-    parts = shuffle_partitions or int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", cores))
+    parts = shuffle_partitions or os.environ.get("TESSERA_SHUFFLE_PARTITIONS")
+    if master and master.startswith("local"):
+        parts = parts or os.cpu_count() or 8
+        builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -54,7 +57,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,6 +81,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
                                "cannot hold checkpoints of a cluster")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", current)
+    if current.startswith("file:") and not (spark.sparkContext.master or "").startswith("local"):
+        raise RuntimeError(f"{current} names each machine's own disk: set spark.checkpoint.dir to a shared folder")
     try:
         spark.sparkContext.setCheckpointDir(current)
     except Exception:  # noqa: BLE001 - connect sessions have no SparkContext

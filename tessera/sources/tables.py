@@ -44,17 +44,32 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_csv_sources(spark: SparkSession, sources: dict[str, tuple[str, T.StructType | str]],
                      header: bool = True) -> dict[str, DataFrame]:
-    """Read each ``name -> (path, schema)`` that exists; raise if none does."""
+    """Read each ``name -> (path, schema)`` that exists; raise if none does.
+
+    With a header the declared columns are found by name, in whatever order the file has them;
+    columns that are not declared are left out, declared ones that the file lacks are null.
+    """
     found = {}
     for name, (path, schema) in sources.items():
         if _exists(spark, path):
-            found[name] = (spark.read.schema(schema).option("header", header)
-                           .option("mode", "PERMISSIVE").csv(path))
+            declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+            found[name] = _read_csv(spark, path, declared, header)
     if not found:
         raise FileNotFoundError("no source file found: " + ", ".join(p for p, _ in sources.values()))
     return found
 
 
+def _read_csv(spark: SparkSession, path: str, declared: T.StructType, header: bool) -> DataFrame:
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    if not header:
+        return reader.schema(declared).csv(path)
+    types = {f.name: f.dataType for f in declared.fields}
+    names = reader.csv(path).columns  # reads the first line
+    in_file = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    df = reader.schema(in_file).csv(path)
+    return df.select(*[F.col(f"`{n}`") if n in names else F.lit(None).cast(t).alias(n) for n, t in types.items()])
+
+
 def write_splits(df: DataFrame, path: str, split_col: str = "split", mode: str = "overwrite",
                  fmt: str = "parquet") -> None:
     """One write of all splits, partitioned by the split column."""
@@ -79,7 +94,7 @@ def to_json_report(long_df: DataFrame, group_cols: list[str], key_col: str,
     The map is built per group by a grouped aggregate; a group is one batch of
     a report (its size is the number of features), never a whole table.
     """
-    entries = F.collect_list(F.struct(F.col(key_col).cast("string").alias("key"),
-                                      F.struct(*value_cols).alias("value")))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(key_col).cast("string").alias("key"),
+                                                   F.struct(*value_cols).alias("value"))))
     agg = long_df.groupBy(*group_cols).agg(F.map_from_entries(entries).alias(map_name))
     return agg.select(*group_cols, F.to_json(F.struct(*group_cols, map_name)).alias("json"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import drift
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, cut_lineage
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -31,10 +31,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def monitor_stream(stream: DataFrame, reference_long: DataFrame, features: list[str], sink: str,
                    checkpoint: str, alpha: float = 0.05, share_limit: float = 0.25,
                    available_now: bool = True):
-    """Start the drift monitor; returns the StreamingQuery."""
+    """Start the drift monitor; returns the StreamingQuery.
+
+    The reference is counted once, before the first micro-batch, into the shared checkpoint folder.
+    """
+    reference_counts = cut_lineage(drift.value_counts(reference_long))
+
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         long = drift.to_long(batch_df, features).withColumn("batch", F.lit(int(batch_id)).cast("long"))
-        ks = drift.ks_drift(reference_long, long, alpha)
+        ks = drift.ks_drift(reference_counts, long, alpha)
         summ = drift.drift_summary(ks, share_limit).select("batch", "drift_percentage", "dataset_drift")
         out = ks.join(summ, on="batch")
         out.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={int(batch_id)}"))

@@ -21,9 +21,38 @@ def test_best_run_ranks_missing_metric_last(spark):
     assert got == {"e": 2, "f": 4}
 
 
-def test_params_are_cut_to_250_chars(spark):
-    runs = spark.createDataFrame([(1, "x" * 400)], "run_id long, p string")
-    assert R.log_params(runs, "run_id", ["p"]).first()["value"] == "x" * 250
+def test_params_stay_whole_unless_cut(spark):
+    runs = spark.createDataFrame([("r1", "x" * 400)], "run_id string, p string")
+    assert R.log_params(runs, "run_id", ["p"]).first()["value"] == "x" * 400
+    assert R.log_params(runs, "run_id", ["p"], max_chars=250).first()["value"] == "x" * 250
+
+
+def test_text_ids_and_production_else_best(spark):
+    runs = spark.createDataFrame([("b2", "e", 0.5), ("b10", "e", 0.9), ("a1", "e", 0.9), ("c", "f", float("nan")), ("d", "f", 0.1)],
+                                 "run_id string, exp string, auc double")
+    best = {r["exp"]: r["run_id"] for r in R.best_run(runs, "exp", "run_id", "auc").collect()}
+    assert best == {"e": "a1", "f": "d"}
+    trial = R.best_trial(runs, ["exp"], "run_id", "auc").collect()
+    assert {r["exp"]: r["run_id"] for r in trial} == {"e": "b2", "f": "d"}
+    stages = spark.createDataFrame([("e", "b2", "Production"), ("f", "c", "Staging")], "exp string, run_id string, stage string")
+    got = {r["exp"]: (r["run_id"], r["in_production"]) for r in R.production_else_best(stages, runs, "exp", "run_id", "auc").collect()}
+    assert got == {"e": ("b2", True), "f": ("d", False)}
+
+
+def test_the_last_promotion_wins(spark):
+    ev = spark.createDataFrame([("m", 1, "Production", 1), ("m", 2, "Production", 2), ("m", 1, "Production", 3)],
+                               "model string, version int, stage string, seq int")
+    got = {(r["version"], r["stage"]) for r in R.current_stage(ev, "model", "version", "stage", ["seq"]).collect()}
+    assert got == {(1, "Production"), (2, "Archived")}
+
+
+def test_runs_append_with_tags_and_parent(spark, tmp_path):
+    for i in range(2):
+        runs = spark.createDataFrame([(f"r{i}", "p", 0.5 + i, "root" if i else None)], "run_id string, a string, m double, up string")
+        R.append_runs(str(tmp_path), runs, "run_id", ["a"], ["m"], {"stage": "tuning"}, "up")
+    rows = lambda t: {tuple(r) for r in spark.read.parquet(f"{tmp_path}/{t}").collect()}
+    assert rows("params") == {("r0", "a", "p"), ("r1", "a", "p")} and rows("metrics") == {("r0", "m", 0.5), ("r1", "m", 1.5)}
+    assert rows("tags") == {("r0", "stage", "tuning"), ("r1", "stage", "tuning"), ("r1", "parent", "root")}
 
 
 def test_stream_drift_equals_batch_ks(spark):

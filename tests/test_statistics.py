@@ -123,14 +123,11 @@ def test_batches_are_contiguous(spark):
 
 @pytest.mark.parametrize("n", [1, 2, 7, 1000, 1001])
 def test_exact_median_bucket_method(spark, n):
-    from tessera.operators.columns import _value_at_rank, exact_median
+    from tessera.operators.columns import exact_median
     df = spark.range(n).select(((F.col("id") * 7919) % 997 / 7.0).alias("x"))
     vals = sorted(r["x"] for r in df.collect())
     expect = (vals[(n - 1) // 2] + vals[n // 2]) / 2.0
     assert exact_median(df, "x") == pytest.approx(expect)
-    values = df.select(F.col("x").alias("v"))
-    assert _value_at_rank(values, (n - 1) // 2) == vals[(n - 1) // 2]
-    assert _value_at_rank(values, n - 1) == vals[-1]
 
 
 def test_two_level_prefix_descending_exclusive(spark):
@@ -143,30 +140,33 @@ def test_two_level_prefix_descending_exclusive(spark):
     assert j.count() == 4000 and j.where(F.col("r") != F.col("r2")).count() == 0
 
 
-def test_two_level_prefix_splits_only_hot_keys(spark):
-    df = spark.range(0, 6000).select(
-        F.when(F.col("id") % 10 < 6, F.lit(0)).otherwise(F.col("id") % 7 + 1).alias("k"),
-        F.col("id").alias("o"), (F.col("id") % 13).cast("long").alias("v"))
-    two = prefix.running(df, ["k"], ["o"], {"r": F.col("v")}, buckets=16, hot_rows=1000)
-    w = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
-    j = two.join(df.withColumn("r2", F.sum("v").over(w)), on=["k", "o", "v"])
-    assert j.count() == 6000 and j.where(F.col("r") != F.col("r2")).count() == 0
-
-
-@pytest.mark.parametrize("rows_limit", ["4000000", "10"])
-def test_prefix_auto_path_after_checkpoint(spark, rows_limit):
-    """Estimate says 'large' -> input checkpointed once, then the real row count picks
-    the single-task window (rows <= limit) or the two-level form; both are exact."""
-    df = spark.range(0, 3000).select((F.col("id") % 4).alias("k"), ((F.col("id") * 17) % 3001).alias("o"),
-                                     F.lit(1).cast("long").alias("v"))
-    spark.conf.set(prefix.SINGLE_TASK_BYTES_CONF, "0")
-    spark.conf.set(prefix.SINGLE_TASK_ROWS_CONF, rows_limit)
-    try:
-        out = prefix.running(df, ["k"], ["o"], {"rn": F.col("v")}, totals=True)
-        w = Window.partitionBy("k").orderBy("o")
-        j = out.join(df.withColumn("rn2", F.row_number().over(w)), on=["k", "o", "v"])
-        assert j.count() == 3000
-        assert j.where((F.col("rn") != F.col("rn2")) | (F.col("rn_total") != 750)).count() == 0
-    finally:
-        spark.conf.unset(prefix.SINGLE_TASK_BYTES_CONF)
-        spark.conf.unset(prefix.SINGLE_TASK_ROWS_CONF)
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("how", ["sum", "max"])
+@pytest.mark.parametrize("kind", ["string", "double", "date", "decimal(20,4)", "long"])
+def test_prefix_equals_plain_window_for_any_order(spark, kind, how, descending):
+    """Text, nulls, NaN, dates and decimals; null and hot keys; one range and many."""
+    texts = [None, *"abcde", "ab", "ba", "ca", "abc", "\u00e9", ""]
+    o = {"string": F.element_at(F.array(*[F.lit(t) for t in texts]), (F.col("id") % len(texts) + 1).cast("int")),
+         "double": F.when(F.col("id") % 9 == 0, F.lit(None)).when(F.col("id") % 9 == 1, F.lit(float("nan"))).otherwise(F.col("id") * 37 % 101 / 7),
+         "date": F.when(F.col("id") % 8 > 0, F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 13 % 300).cast("int"))),
+         "decimal(20,4)": F.when(F.col("id") % 8 > 0, (F.col("id") * 7919 % 1000 / 16).cast("decimal(20,4)")),
+         "long": F.col("id") * 31 % 997}[kind]
+    df = spark.range(0, 900).select(
+        F.when(F.col("id") % 10 < 6, F.lit("hot")).when(F.col("id") % 10 == 6, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
+        o.cast(kind).alias("o"), "id", F.when(F.col("id") % 11 > 0, F.col("id") % 17).alias("v")).repartition(5)
+    sort = [F.col(c).desc() if descending else F.col(c).asc() for c in ("o", "id")]
+    w = Window.partitionBy("k").orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
+    agg = F.sum if how == "sum" else F.max
+    whole = agg("v").over(Window.partitionBy("k"))
+    plain = {r["id"]: (r["r"], r["t"]) for r in df.select(
+        "id", (F.coalesce(agg("v").over(w), F.lit(0)) if how == "sum" else agg("v").over(w)).alias("r"), whole.alias("t")).collect()}
+    for buckets in (1, 7):
+        got = prefix.running(df, ["k"], ["o", "id"], {"r": F.col("v")}, how=how, descending=descending, buckets=buckets, totals=True).collect()
+        assert {r["id"]: (r["r"], r["r_total"]) for r in got} == plain
+
+
+def test_prefix_cuts_a_hot_key(spark):
+    df = spark.range(0, 6000).select(F.lit(0).alias("k"), F.col("id").alias("o"), (F.col("id") % 13).alias("v"))
+    out = prefix.running(df, ["k"], ["o"], {"r": F.col("v")}, buckets=8).withColumn("p", F.spark_partition_id())
+    assert out.where(F.col("r") != F.expr("o div 13 * 78 + (o % 13) * (o % 13 + 1) div 2")).count() == 0
+    assert max(r["count"] for r in out.groupBy("p").count().collect()) < 6000
