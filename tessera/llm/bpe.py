@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh, small
+from tessera.llm.common import fresh, short_batches, small, then_give_back
 from tessera.session import cut_lineage
 
 CHUNK_CHARS = 32_768
@@ -98,7 +98,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
                      chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP) -> DataFrame:
     """``docs`` without ``text`` and with ``ids``: the text's ids as little-endian unsigned 32-bit
     integers (binary)."""
-    rest = [f for f in docs.schema.fields if f.name not in (text, ids)]
+    rest = [f for f in short_batches(docs).schema.fields if f.name not in (text, ids)]
     schema = T.StructType([*rest, T.StructField(ids, T.BinaryType())])
     names = [f.name for f in rest]
     size = F.coalesce(F.length(text), F.lit(0))
@@ -109,7 +109,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(made, pa.binary())],
                                              [*names, ids])
 
-    short = docs.filter(size <= chunk_chars).select(*names, text).mapInArrow(short_texts, schema)
+    short = docs.filter(size <= chunk_chars).select(*names, text).mapInArrow(then_give_back(short_texts), schema)
     key = fresh(docs, "text_key")
     long_docs = docs.filter(size > chunk_chars).withColumn(key, F.sha2(text, 256))
     long_ids = _encode_long(long_docs.select(F.col(key).alias("text_key"), F.col(text).alias("text")),
@@ -187,4 +187,4 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "id
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(made, pa.binary())],
                                              [*names, out])
 
-    return encoded.select(*names).mapInArrow(decoded, T.StructType([*keep, T.StructField(out, T.BinaryType())]))
+    return short_batches(encoded).select(*names).mapInArrow(then_give_back(decoded), T.StructType([*keep, T.StructField(out, T.BinaryType())]))

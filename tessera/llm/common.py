@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -41,6 +42,34 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+BATCH_ROWS = 1_024
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``; from here on its session hands whole texts to Python ``BATCH_ROWS`` at a time at most,
+    which bounds the buffers on both sides."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
+def give_back() -> None:
+    """Return this worker's freed memory to the system: workers live on for other tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library
+        trim(0)
+
+
+def then_give_back(run):
+    """``run`` (batches to batches) that gives its memory back at the end of the task."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in slices, so that a worker holds the results of a few rows at a time."""
     for batch in batches:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import hash_order
+from tessera.llm.common import hash_order, short_batches, then_give_back
 
 ORDERS = 3
 PER_LANGUAGE = 400
@@ -183,4 +183,4 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", out: str =
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(languages, pa.string()), pa.array(scores)],
                                                  [*names, out, score])
 
-    return docs.mapInArrow(run, T.StructType([*keep, T.StructField(out, T.StringType()), T.StructField(score, T.DoubleType())]))
+    return short_batches(docs).mapInArrow(then_give_back(run), T.StructType([*keep, T.StructField(out, T.StringType()), T.StructField(score, T.DoubleType())]))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import small
+from tessera.llm.common import give_back, short_batches, small, then_give_back
 from tessera.llm.rolling import Ranges, mixed
 from tessera.session import cut_lineage
 
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
                                              ["key", "ck", "bands"])
 
-    return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "key long, ck binary, bands array<long>")
+    return short_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(then_give_back(run), "key long, ck binary, bands array<long>")
 
 
 def buckets(classes: DataFrame, bands: int) -> DataFrame:
@@ -215,6 +215,8 @@ def tiles(docs: DataFrame, rows: DataFrame, key: str = "doc_id", text: str = "te
     def run(table: pa.Table) -> pa.Table:
         made = _tile(table, threshold, want_links)
         ck, other, count = zip(*made, strict=True) if made else ((), (), ())
+        if table.nbytes > 4 << 20:
+            give_back()
         return pa.table({"ck": pa.array(ck, pa.binary()), "other": pa.array(other, pa.binary()), "n": pa.array(count, pa.int64())})
 
     result = dealt.groupBy("band", "hash", "a", "b").applyInArrow(run, "ck binary, other binary, n long")

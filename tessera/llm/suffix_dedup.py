@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import induced
-from tessera.llm.common import fresh, hash_order
+from tessera.llm.common import fresh, give_back, hash_order, short_batches, then_give_back
 from tessera.llm.rolling import Ranges, mixed
 from tessera.session import cut_lineage
 
@@ -215,7 +215,7 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
                          "kind": pa.array(np.concatenate((np.zeros(len(o), "i4"), np.where(hot, 2, 1).astype("i4"))))})
 
     packed = ", ".join(f"{n} binary" for n in [*_PACKED, "gone_order", "gone_start", "gone_until"])
-    met = cut_lineage(whole.mapInArrow(anchors, f"bucket long, {packed}").groupBy("bucket").applyInArrow(
+    met = cut_lineage(whole.mapInArrow(then_give_back(anchors), f"bucket long, {packed}").groupBy("bucket").applyInArrow(
         meet, "order long, start long, until long, anchor long, kind int"))
     gone = met.filter("kind = 0").select("order", "start", "until")
     open_ones = met.filter("kind > 0")
@@ -228,7 +228,9 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
         _cut(length, shards), "kind int, shard long, order binary, start binary, size binary, anchor binary, second binary, bytes binary"))
 
     def suffixes(table: pa.Table) -> pa.Table:
-        return pa.table(_ranges_table(*_sorted_shard(table, length)))
+        made = _sorted_shard(table, length)
+        give_back()
+        return pa.table(_ranges_table(*made))
 
     def strings(table: pa.Table) -> pa.Table:
         found = _unpack(table, ["anchor", "second", "order", "start"])
@@ -244,8 +246,8 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
     """Documents of (order, text) batches, 8 PIECE bytes at a time."""
+    held, total = [], 0
     for batch in batches:
-        held, total = [], 0
         for order, text in zip(batch.column("order").to_pylist(), batch.column("text"), strict=True):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
             held.append((order, data))
@@ -253,8 +255,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, by
             if total >= 8 * PIECE:
                 yield held
                 held, total = [], 0
-        if held:
-            yield held
+    if held:
+        yield held
 
 
 def _frequent(docs: DataFrame, order: str, text: str, rows: int, length: int) -> np.ndarray:
@@ -352,7 +354,7 @@ def _sorted_shard(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray,
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, whole: bool = False) -> DataFrame:
     """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans, kept_sha256; with ``whole``
     also the remaining text (of characters that lost a byte nothing stays)."""
-    docs, rows, size, order = ordered(docs, key, text)
+    docs, rows, size, order = ordered(short_batches(docs), key, text)
     found = removed(docs, order, text, rows, size, length)
     gone = found.groupBy("order").agg(F.collect_list(F.struct("start", "until")).alias("gone"))
     rest = [f for f in docs.schema.fields if f.name not in (text, order)]

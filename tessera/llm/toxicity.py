@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import hash_order
+from tessera.llm.common import hash_order, short_batches, then_give_back
 
 SAMPLE_ROWS = 12_000
 MAX_LEXICON = 4_096
@@ -128,7 +128,7 @@ def with_features(docs: DataFrame, lexicon: dict[bytes, float], text: str = "tex
             made = pa.array([features(t.as_py(), lexicon) for t in batch.column(text)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], [*names, out])
 
-    return docs.mapInArrow(run, T.StructType([*keep, T.StructField(out, T.ArrayType(T.DoubleType()))]))
+    return short_batches(docs).mapInArrow(then_give_back(run), T.StructType([*keep, T.StructField(out, T.ArrayType(T.DoubleType()))]))
 
 
 def learn_lexicon(rows: DataFrame) -> dict[bytes, float]:
@@ -160,7 +160,7 @@ def learn_lexicon(rows: DataFrame) -> dict[bytes, float]:
             yield pa.RecordBatch.from_pydict({"unit": pa.array(unit, pa.binary()), "n": [seen[u] for u in unit],
                                               "toxic": [bad[u] for u in unit]})
 
-    units = (once.mapInArrow(counts, "unit binary, n long, toxic long").groupBy("unit")
+    units = (short_batches(once).mapInArrow(then_give_back(counts), "unit binary, n long, toxic long").groupBy("unit")
              .agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).persist())
     total = units.filter(F.length("unit") == 0).first()  # the empty unit stands for every document
     if total is None or not total["toxic"]:
