@@ -70,14 +70,17 @@ class FittedModel:
 
 
 ROWS_PER_PARTITION = 500_000
+LEAST_ROWS = 1_000
 
 
 def training_input(df: DataFrame) -> DataFrame:
     """Persist the training rows once (iterative learners scan them every
-    iteration) and, for small inputs, use fewer partitions: per-iteration job
-    overhead, not data, dominates there.  Large inputs keep their partitioning."""
-    n = df.count()
-    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    iteration), in as many partitions as the session has cores, fewer where a task would
+    have less than ``LEAST_ROWS`` rows: empty tasks only add overhead to every iteration."""
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        return df  # the caller's, persisted once for many fits
+    n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(cores, math.ceil(n / LEAST_ROWS)), math.ceil(n / ROWS_PER_PARTITION))
     if parts < df.rdd.getNumPartitions():
         df = df.coalesce(parts)
     return df.persist()
@@ -85,11 +88,13 @@ def training_input(df: DataFrame) -> DataFrame:
 
 def _fit(name: str, estimator, train: DataFrame, params: dict, pre=None) -> FittedModel:
     t0 = time.time()
-    x = training_input(pre(train) if pre is not None else train)
+    given = pre(train) if pre is not None else train
+    x = training_input(given)
     try:
         model = estimator.fit(x)
     finally:
-        x.unpersist()
+        if x is not given:
+            x.unpersist()
     return FittedModel(name, model, time.time() - t0, params, pre)
 
 

@@ -211,7 +211,27 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
 def knn_vote(neigh: DataFrame, ref_labels: DataFrame, qid: str = "qid", rid: str = "rid",
              label: str = "label", digits: int = DIST_DIGITS) -> DataFrame:
     """Inverse-distance vote: weight 1/d; if any neighbour is at distance 0 only those vote.
-    Highest vote (rounded) wins; ties -> the smaller label.  Returns (qid, predicted, vote)."""
+    Highest vote (rounded) wins; ties -> the smaller label (of any orderable type).
+    Returns (qid, predicted, vote, share): share of all votes, the class's probability."""
+    per = label_votes(neigh, ref_labels, qid, rid, label, digits)
+    best = per.groupBy(qid).agg(
+        F.min_by(F.struct(F.col(label).alias("l"), "vote"), F.struct(-F.col("vote"), F.col(label))).alias("b"),
+        F.sum("vote").alias("__all"))
+    return best.select(qid, F.col("b.l").alias("predicted"), F.col("b.vote").alias("vote"),
+                       (F.col("b.vote") / F.col("__all")).alias("share"))
+
+
+def knn_share(neigh: DataFrame, ref_labels: DataFrame, positive, qid: str = "qid", rid: str = "rid",
+              label: str = "label", digits: int = DIST_DIGITS) -> DataFrame:
+    """(qid, score): the share of the votes that label ``positive`` has, its probability."""
+    per = label_votes(neigh, ref_labels, qid, rid, label, digits)
+    mine = F.sum(F.when(F.col(label) == F.lit(positive), F.col("vote")).otherwise(0.0))
+    return per.groupBy(qid).agg((mine / F.sum("vote")).alias("score"))
+
+
+def label_votes(neigh: DataFrame, ref_labels: DataFrame, qid: str = "qid", rid: str = "rid",
+                label: str = "label", digits: int = DIST_DIGITS) -> DataFrame:
+    """(qid, label, vote) of the labels among the neighbours."""
     j = neigh.join(ref_labels.select(rid, label), on=rid)
     d = F.sqrt(F.col("sq_dist"))
     per = j.groupBy(qid, label).agg(
@@ -219,9 +239,7 @@ def knn_vote(neigh: DataFrame, ref_labels: DataFrame, qid: str = "qid", rid: str
         F.count_if(d == 0).alias("__zeros"))
     has_zero = F.max("__zeros").over(Window.partitionBy(qid)) > 0  # per query: at most k label rows
     vote = F.when(has_zero, F.col("__zeros").cast("double")).otherwise(F.coalesce("__w", F.lit(0.0)))
-    per = per.withColumn("vote", F.round(vote, digits)).withColumn("__neg_label", -F.col(label))
-    best = per.groupBy(qid).agg(F.max(F.struct("vote", "__neg_label", F.col(label).alias("l"))).alias("b"))
-    return best.select(qid, F.col("b.l").alias("predicted"), F.col("b.vote").alias("vote"))
+    return per.withColumn("vote", F.round(vote, digits)).select(qid, label, "vote")
 
 
 def knn_classify(query: DataFrame, ref: DataFrame, k: int = 7, qid: str = "qid", rid: str = "rid",

@@ -58,21 +58,34 @@ def _gbt_params(row) -> dict:
                 minInstancesPerNode=int(row["min_child"]))
 
 
+TRIAL_METRICS = ["auc", "accuracy", "f1_score", "precision", "recall", "mcc", "log_loss"]
+
+
 def tune_gbt(train: DataFrame, val: DataFrame, label: str = "label", features: str = "features",
              n_trials: int = N_TRIALS, parallelism: int = 4, seed: int = 42) -> DataFrame:
-    """Fit one boosted-tree model per trial, score AUC on ``val``; loss = 1 - AUC."""
+    """Fit one boosted-tree model per trial and evaluate it on ``val``; loss = 1 - AUC.
+
+    Both tables are persisted once, outside the pool, and released after the last trial.
+    """
     spark = train.sparkSession
     space = search_space(spark, n_trials, seed)
     trials = space.collect()  # n_trials rows of parameters: a driver-side work list
 
+    train, val = MD.training_input(train), val.persist()
+
     def run(row):
         model = MD.fit_gbt(train, label, features, **_gbt_params(row))
-        auc = M.roc_auc(model.transform(val), label, "score").first()["auc"]
-        return int(row["trial"]), auc, model.fit_seconds
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, trials))
-    res = spark.createDataFrame(results, "trial long, auc double, fit_seconds double")
+        found = MD.evaluate_model(model, val, label).first()
+        return (int(row["trial"]), *[None if found[m] is None else float(found[m]) for m in TRIAL_METRICS], model.fit_seconds)
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = list(pool.map(run, trials))
+    finally:
+        train.unpersist()
+        val.unpersist()
+    metrics = ", ".join(f"{m} double" for m in TRIAL_METRICS)
+    res = spark.createDataFrame(results, f"trial long, {metrics}, fit_seconds double")
     out = space.join(res, on="trial")
     return out.withColumn("loss", F.lit(1.0) - F.col("auc"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_u
 from tessera.operators.balance import smote
-from tessera.operators.neighbours import knn_classify
+from tessera.operators.neighbours import knn_classify, knn_share, knn_vote, nearest
 from tessera.operators import metrics as MM
 from tessera.operators import models as MD
 from tessera.operators.explain import local_surrogate, shapley_sampled
@@ -14,6 +14,7 @@ from tessera.operators.sampling import sample_fixed, stratified_split
 from tessera.operators.scaling import fit_scaler
 from tessera.operators.tuning import tune_gbt
 from tessera.plans.common import rounded, table
+from tessera.session import cut_lineage
 
 QUERY_SHARE = 0.2
 K_VOTE = 7
@@ -40,7 +41,7 @@ def q_knn_classify(spark, sf):
     query, ref = knn_sets(spark, sf)
     pred = knn_classify(query, ref, K_VOTE, "qid", "rid", "vec", "label")
     out = pred.join(query.select("qid", "label"), on="qid")
-    return rounded(out.select(F.col("qid").alias("vec_id"), "label", "predicted", "vote"))
+    return rounded(out.select(F.col("qid").alias("vec_id"), "label", "predicted", "vote", F.col("share").alias("score")))
 
 
 def q_smote(spark, sf):
@@ -75,16 +76,10 @@ _FITTERS = {
     "mlp": lambda tr: MD.fit_mlp(tr, N_DIM, "y"),
     "svm_rff": lambda tr: MD.fit_svm_rff(tr, N_DIM, "y"),
 }
-_FITTED: dict = {}
 
 
 def fitted(spark, sf, name):
-    """Fit once per (session, tables, learner) and reuse, as a model registry would."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _FITTED:
-        tr, _ = _train_val(spark, sf)
-        _FITTED[key] = _FITTERS[name](tr)
-    return _FITTED[key]
+    return _FITTERS[name](_train_val(spark, sf)[0])
 
 
 def q_fit_gbt(spark, sf):
@@ -108,8 +103,9 @@ def q_model_compare(spark, sf):
     rows = [MD.evaluate_model(fitted(spark, sf, m), va, "y") for m in ("tree", "mlp", "svm_rff", "gbt")]
     q = va.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"), "y")
     r = tr.select(F.col("vec_id").alias("rid"), F.col("embedding").alias("vec"), F.col("y").alias("label"))
-    knn = knn_classify(q, r, K_VOTE, "qid", "rid", "vec", "label").join(q.select("qid", "y"), on="qid")
-    knn = knn.withColumns({"prediction": F.col("predicted").cast("int"), "score": F.col("predicted").cast("double")})
+    near = cut_lineage(nearest(q.select("qid", "vec"), r.select("rid", "vec"), K_VOTE, "qid", "rid", "vec"))
+    knn = (knn_vote(near, r).join(knn_share(near, r, 1), on="qid").join(q.select("qid", "y"), on="qid")
+           .withColumn("prediction", F.col("predicted").cast("int")))
     rows.append(MM.evaluate(knn, "y", "prediction", "score").withColumns(
         {"model": F.lit("knn"), "fit_seconds": F.lit(0.0)}))
     out = rows[0]
@@ -181,7 +177,8 @@ per AS (SELECT qid, label, sum(CASE WHEN sqrt(d2) > 0 THEN 1.0 / sqrt(d2) END) A
 v AS (SELECT qid, label, round(CASE WHEN max(zeros) OVER (PARTITION BY qid) > 0 THEN CAST(zeros AS DOUBLE)
                                     ELSE coalesce(w, 0.0) END, 9) AS vote FROM per),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY vote DESC, label) AS rn FROM v) WHERE rn = 1)
-SELECT b.qid AS vec_id, q.label, b.label AS predicted, round(b.vote, 6) AS vote FROM best b JOIN q ON b.qid = q.qid""",
+SELECT b.qid AS vec_id, q.label, b.label AS predicted, round(b.vote, 6) AS vote,
+       round(b.vote / (SELECT sum(vote) FROM v WHERE v.qid = b.qid), 6) AS score FROM best b JOIN q ON b.qid = q.qid""",
     "smote": f"""WITH sizes AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
 need AS (SELECT label, n, (SELECT max(n) FROM sizes) - n AS need FROM sizes WHERE n < (SELECT max(n) FROM sizes)),
 m AS (SELECT e.vec_id, e.embedding, e.label FROM embeddings e JOIN need USING (label)),
