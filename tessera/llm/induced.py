@@ -8,7 +8,11 @@ a file once it exceeds ``MEMORY_BYTES`` (deleted before it is used, so that noth
 it is read and appended to in blocks.  Leftmost-S substrings are named by one induction, the string of
 their names is sorted by the same routine, and a second induction makes the order of all suffixes.
 
-``repeats`` reads common prefixes of neighbours off the order, up to the length asked for.
+``sort_common`` carries common prefixes through that last induction.  Two suffixes that follow each
+other in a run were pushed by two popped suffixes; they share one symbol more than the least
+common prefix met between these two pops.  ``_Least`` keeps that least value for each symbol since
+the last push to it.  Between the two kinds of suffixes of one run it is the shorter stretch of the
+run's symbol.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ import tempfile
 
 import numpy as np
 
-from tessera.llm.rolling import mixed
+from tessera.llm.rolling import Ranges, mixed
 
 MEMORY_BYTES = 256 << 20
 BLOCK = 1 << 18
@@ -60,20 +64,82 @@ def _places(symbols: np.ndarray, ends: np.ndarray, step: int) -> np.ndarray:
     return places
 
 
-def _induce(text: np.ndarray, up: np.ndarray, bounds: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """All suffixes in order, from the leftmost-S suffixes in order.
+class _Least:
+    """By symbol, the least common prefix met since the last push to it (-1: no push yet)."""
+
+    def __init__(self, symbols: int, limit: int):
+        self.since = np.full(symbols, -1, "i8")
+        self.limit = limit
+
+    def pushed(self, met: np.ndarray, item: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Common prefix of each push with the push before it to its symbol (0: there is none).
+
+        ``met[k]`` is the common prefix of the k-th pop with the pop before; ``item`` has the pops that push.
+        """
+        out = np.zeros(len(item), "i8")
+        if len(item):
+            order = np.argsort(symbols, kind="stable")
+            ranked, at = symbols[order], item[order]
+            head = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+            begin = np.zeros(len(at), "i8")
+            begin[1:] = at[:-1] + 1
+            begin[head] = 0
+            padded = np.append(met, self.limit)
+            low = np.minimum.reduceat(padded, np.stack([begin, at + 1], axis=1).ravel())[::2]
+            before = self.since[ranked[head]]
+            value = np.minimum(low + 1, self.limit)
+            value[head] = np.where(before < 0, 0, np.minimum(np.minimum(before, low[head]) + 1, self.limit))
+            out[order] = value
+            last = np.flatnonzero(np.append(head[1:], True))
+            rest = np.minimum.reduceat(padded, at[last] + 1)[np.arange(len(last))] if len(last) == 1 else np.array(
+                [padded[x + 1:].min() for x in at[last].tolist()])
+        known = self.since >= 0
+        if len(met):
+            self.since[known] = np.minimum(self.since[known], int(met.min()))
+        if len(item):
+            self.since[ranked[last]] = np.minimum(rest, self.limit)
+        return out
+
+
+def _met(text: np.ndarray, up: np.ndarray, stretch: np.ndarray, popped: np.ndarray, before: int, stored: np.ndarray) -> np.ndarray:
+    """Common prefix of each popped suffix with the one popped before it: as stored, but nothing across
+    runs and the shorter stretch between the two kinds of one run."""
+    if not len(popped):
+        return stored
+    previous = np.concatenate(([before], popped[:-1]))
+    out = stored.copy()
+    other = up[popped] != up[previous]
+    out[other] = np.minimum(stretch[popped[other]], stretch[previous[other]])
+    out[text[popped] != text[previous]] = 0
+    if before < 0:
+        out[0] = 0
+    return out
+
+
+def _induce(text: np.ndarray, up: np.ndarray, bounds: np.ndarray, seeds: np.ndarray, common: np.ndarray | None = None,
+            limit: int = 0) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """All suffixes in order, from the leftmost-S suffixes in order; with ``common`` (of each seed with the
+    one before) also the common prefixes of neighbours, up to ``limit``.
 
     A block is popped at once.  What it pushes into itself ends it there: the pops before that
     place push nothing in front of it.
     """
-    n = len(text)
+    n, carry = len(text), common is not None
     order = queue(n)
+    if carry:
+        prefix, stretch = queue(n), _stretches(text, limit)
+        least = _Least(len(bounds) - 1, limit)
     if len(seeds):  # to the ends of their runs, in order
-        order[_places(text[seeds][::-1], bounds[1:] - 1, -1)] = seeds[::-1]
+        places = _places(text[seeds][::-1], bounds[1:] - 1, -1)
+        order[places] = seeds[::-1]
+        if carry:
+            prefix[places] = common[::-1]
     heads = bounds[:-1].copy()
     order[heads[text[n - 1]]] = n - 1  # the last suffix follows the empty one
     heads[text[n - 1]] += 1
-    at, size = 0, BLOCK
+    if carry:
+        least.since[text[n - 1]] = 0
+    at, size, before = 0, BLOCK, -1
     while at < n:  # pop upwards; push the greater neighbours to the left
         end = min(n, at + size)
         left = order[at:end] - 1
@@ -83,12 +149,20 @@ def _induce(text: np.ndarray, up: np.ndarray, bounds: np.ndarray, seeds: np.ndar
             left = left[item]
             symbols = text[left]
             places = _places(symbols, heads, 1)
-            if (least := int(places.min())) < end:
-                end = least
-                item = np.searchsorted(item, end - at)
-                left, symbols, places = left[:item], symbols[:item], places[:item]
+            if (first := int(places.min())) < end:
+                end = first
+                item = item[:np.searchsorted(item, end - at)]
+                left, symbols, places = left[:len(item)], symbols[:len(item)], places[:len(item)]
             order[places] = left
             heads[symbols] = places + 1  # of equal symbols the last one counts
+        if carry:
+            slot = np.flatnonzero(order[at:end] >= 0)
+            popped = order[at:end][slot]
+            met = _met(text, up, stretch, popped, before, prefix[at:end][slot])
+            value = least.pushed(met, np.searchsorted(slot, item), text[popped[np.searchsorted(slot, item)] - 1] if len(item) else item)
+            if len(item):
+                prefix[places] = value
+            before = int(popped[-1]) if len(popped) else before
         at, size = end, min(BLOCK, max(32, 2 * (end - at)))
     # the seeds go, and every S suffix is induced from the right
     for start in range(0, n, BLOCK):
@@ -97,7 +171,9 @@ def _induce(text: np.ndarray, up: np.ndarray, bounds: np.ndarray, seeds: np.ndar
         found[found] = up[part[found]]
         part[found] = -1
     tails = bounds[1:] - 1
-    at, size = n, BLOCK
+    if carry:
+        least = _Least(len(bounds) - 1, limit)
+    at, size, before, before_at = n, BLOCK, -1, -1
     while at > 0:
         begin = max(0, at - size)
         left = order[begin:at][::-1] - 1
@@ -107,21 +183,74 @@ def _induce(text: np.ndarray, up: np.ndarray, bounds: np.ndarray, seeds: np.ndar
             left = left[item]
             symbols = text[left]
             places = _places(symbols, tails, -1)
-            if (most := int(places.max())) >= begin:
-                begin = most + 1
-                item = np.searchsorted(item, at - begin)
-                left, symbols, places = left[:item], symbols[:item], places[:item]
+            if (last := int(places.max())) >= begin:
+                begin = last + 1
+                item = item[:np.searchsorted(item, at - begin)]
+                left, symbols, places = left[:len(item)], symbols[:len(item)], places[:len(item)]
             order[places] = left
             tails[symbols] = places - 1
+        if carry:
+            slot = np.flatnonzero(order[begin:at][::-1] >= 0)
+            popped = order[begin:at][::-1][slot]
+            if len(popped):
+                # what a suffix shares with the one popped before it, to its right, is kept with that one
+                right = np.concatenate(([before_at], at - 1 - slot[:-1]))
+                met = _met(text, up, stretch, popped, before, prefix[right])
+                where = np.searchsorted(slot, item)
+                value = least.pushed(met, where, text[popped[where] - 1] if len(item) else item)
+                if len(item):
+                    inner = value > 0
+                    prefix[places[inner] + 1] = value[inner]
+                before, before_at = int(popped[-1]), int(at - 1 - slot[-1])
         at, size = begin, min(BLOCK, max(32, 2 * (at - begin)))
-    return order
+    if not carry:
+        return order
+    for start in range(0, n, BLOCK):  # what stands between runs and kinds
+        here = np.asarray(order[max(0, start - 1):start + BLOCK])
+        got = prefix[max(0, start - 1):start + BLOCK]
+        got[1 if start else 0:] = _met(text, up, stretch, here, -1, got)[1 if start else 0:]
+    return order, prefix
+
+
+def _stretches(text: np.ndarray, limit: int) -> np.ndarray:
+    """How often the first symbol of each suffix follows itself, up to ``limit``."""
+    change = np.append(np.flatnonzero(text[1:] != text[:-1]) + 1, len(text))
+    at = np.arange(len(text))
+    return np.minimum(change[np.searchsorted(change, at, side="right")] - at, limit)
+
+
+def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+    """Common prefixes of the suffixes at ``a`` and ``b``, up to ``limit``: by hashes of halving ranges."""
+    ranges, out = Ranges(text), np.zeros(len(a), "i8")
+    room = np.minimum(limit, len(text) - np.maximum(a, b))
+    step = 1 << limit.bit_length()
+    while step := step >> 1:
+        can = np.flatnonzero(out + step <= room)
+        left, right = a[can] + out[can], b[can] + out[can]
+        same = ranges.of(left, left + step) == ranges.of(right, right + step)
+        out[can[same]] += step
+    return out
 
 
 def sort(text: np.ndarray) -> np.ndarray:
     """The places of all suffixes of a non-empty array of small non-negative integers, in order."""
-    n = len(text)
-    if n == 1:
+    if len(text) == 1:
         return np.zeros(1, "i8")
+    up, bounds, marks = _marks(text)
+    return _induce(text, up, bounds, marks)
+
+
+def sort_common(text: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order, and the common prefix of each suffix with the one before it, up to ``limit``."""
+    if len(text) == 1:
+        return np.zeros(1, "i8"), np.zeros(1, "i8")
+    up, bounds, marks = _marks(text)
+    return _induce(text, up, bounds, marks, np.concatenate((np.zeros(min(1, len(marks)), "i8"), _common(text, marks[:-1], marks[1:], limit))), limit)
+
+
+def _marks(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kinds of the suffixes, bounds of the runs, and the leftmost-S suffixes in order."""
+    n = len(text)
     up = _kinds(text)
     bounds = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=int(text.max()) + 1))))
     marks = np.flatnonzero(up[1:] & ~up[:-1]) + 1  # leftmost S
@@ -146,7 +275,7 @@ def sort(text: np.ndarray) -> np.ndarray:
             marks = marks[sort(reduced[marks])]
         else:
             marks = ranked
-    return _induce(text, up, bounds, marks)
+    return up, bounds, marks
 
 
 def _substring_keys(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -160,40 +289,21 @@ def _substring_keys(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     return np.stack([*rows, (ends - starts).astype("u8")])
 
 
-def common_at_least(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-    """True where the ``length`` bytes from ``a`` and from ``b`` on are equal (all in range)."""
-    same = np.ones(len(a), bool)
-    left = np.arange(len(a))
-    for step in range(0, length, 8):
-        width = min(8, length - step)
-        for j in range(width):  # most neighbours differ in the first few bytes that are left
-            left = left[data[a[left] + step + j] == data[b[left] + step + j]]
-            if not len(left):
-                break
-    same[:] = False
-    same[left] = True
-    return same
-
-
 def repeats(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, group): every place whose ``length`` bytes stand at another place too, and the number
-    of its group of equal strings.  No string crosses a zero byte that isn't in ``data`` itself:
-    pass pieces through ``pieces``."""
-    text = np.frombuffer(data, "u1")
+    of its group of equal strings."""
+    text = np.frombuffer(data, "u1").astype("i8")
     if len(text) <= length:
         return np.zeros(0, "i8"), np.zeros(0, "i8")
-    order = sort(text.astype("i8"))
-    return grouped(text, order, np.ones(len(text), bool), length)
+    order, prefix = sort_common(text, length)
+    return grouped(order, prefix, np.arange(len(text)) + length <= len(text), length)
 
 
-def grouped(text: np.ndarray, order: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same from a suffix order, over the places that are ``valid``."""
-    valid = valid.copy()
-    valid[max(0, len(text) - length + 1):] = False
-    places = np.concatenate([part[valid[part]] for part in (np.asarray(order[s:s + BLOCK]) for s in range(0, len(order), BLOCK))])
-    if len(places) < 2:
-        return np.zeros(0, "i8"), np.zeros(0, "i8")
-    equal = common_at_least(text, places[:-1], places[1:], length)
-    group = np.concatenate(([0], np.cumsum(~equal)))
-    member = np.concatenate(([False], equal)) | np.concatenate((equal, [False]))
-    return places[member], group[member]
+def grouped(order: np.ndarray, prefix: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from an order and its common prefixes, over the places that are ``valid``."""
+    group = np.cumsum(np.asarray(prefix) < length)  # a group ends where neighbours share less
+    keep = valid[order]
+    places, group = np.asarray(order)[keep], group[keep]
+    count = np.bincount(group) if len(group) else group
+    many = count[group] > 1
+    return places[many], group[many]

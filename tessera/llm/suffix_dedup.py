@@ -345,7 +345,7 @@ def _sorted_shard(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray,
     owner = np.repeat(np.arange(len(size)), size + 1)
     offset = np.arange(len(text)) - np.repeat(begin + np.arange(len(size)), size + 1)
     valid = offset + length <= size[owner]
-    places, group = induced.grouped(text, induced.sort(text), valid, length)
+    places, group = induced.grouped(*induced.sort_common(text, length), valid, length)
     o, s = order[owner[places]], start[owner[places]] + offset[places]
     later = ~earliest(group, order=o, start=s)
     return spans(o[later], s[later], s[later] + length)
