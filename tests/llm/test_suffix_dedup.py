@@ -34,6 +34,24 @@ def test_suffix_order(block, monkeypatch):
         assert induced.sort(np.array(text, "i8")).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+@pytest.mark.parametrize("block", [1, 5, 1 << 18])
+def test_common_prefixes_are_carried(block, monkeypatch):
+    monkeypatch.setattr(induced, "BLOCK", block)
+    rng = random.Random(10 + block)
+    for _ in range(150):
+        kinds, limit = rng.choice([1, 2, 3, 9]), rng.choice([1, 3, 100])
+        text = [rng.randrange(kinds) for _ in range(rng.randint(1, 50))]
+        order = sorted(range(len(text)), key=lambda i: text[i:])
+        want = [0]
+        for a, b in zip(order, order[1:], strict=False):
+            same = 0
+            while same < limit and max(a, b) + same < len(text) and text[a + same] == text[b + same]:
+                same += 1
+            want.append(same)
+        got = induced.sort_common(np.array(text, "i8"), limit)
+        assert got[0].tolist() == order and np.asarray(got[1]).tolist() == want
+
+
 def test_repeats():
     data = b"0123456789abc" + b"xyz" + b"0123456789ab" + b"!" + b"123456789"
     places, group = induced.repeats(data, 9)
