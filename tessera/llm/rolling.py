@@ -19,7 +19,7 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse: ``size`` of each at least; kept for the worker's life."""
     if len(_powers[0]) < size:
         for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(2 * len(_powers[0]), size), base, "u8")
+            steps = np.full(size + (size >> 3), base, "u8")
             steps[0] = 1
             _powers[i] = np.multiply.accumulate(steps)
     return _powers[0], _powers[1]

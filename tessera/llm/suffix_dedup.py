@@ -43,10 +43,10 @@ from tessera.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
-PIECE = 1 << 20  # bytes handled at a time; fits the position bits below
+PIECE = 1 << 19  # bytes handled at a time; fits the position bits below
 POSITION_BITS = 24
-BUCKET_BYTES = 24 << 20  # input bytes by bucket of anchors
-SHARD_BYTES = 3 << 19
+BUCKET_BYTES = 8 << 20  # input bytes by bucket of anchors
+SHARD_BYTES = 1 << 20
 SAMPLE_DOCS = 4_000
 FREQUENT = 0.01
 
@@ -209,6 +209,8 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
         meets = (count[back] > 1) | hot
         left = {n: v[meets] for n, v in left.items()}
         hot = hot[meets]
+        del found, first, end, back, count
+        give_back()
         return pa.table({"order": pa.array(np.concatenate((o, left["order"]))), "start": pa.array(np.concatenate((s, left["start"]))),
                          "until": pa.array(np.concatenate((e, left["start"] + left["size"]))),
                          "anchor": pa.array(np.concatenate((np.zeros(len(o), "i8"), left["anchor"].view("i8")))),
@@ -225,7 +227,7 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
     shards = max(1, -(-int(total) // SHARD_BYTES))
     wanted = open_ones.groupBy("order").agg(F.collect_list(F.struct("start", "until", "anchor", "kind")).alias("parts"))
     snippets = cut_lineage(_with_bytes(docs.select(F.col(order).alias("order"), F.col(text).alias("text")), wanted).mapInArrow(
-        _cut(length, shards), "kind int, shard long, order binary, start binary, size binary, anchor binary, second binary, bytes binary"))
+        then_give_back(_cut(length, shards)), "kind int, shard long, order binary, start binary, size binary, anchor binary, second binary, bytes binary"))
 
     def suffixes(table: pa.Table) -> pa.Table:
         made = _sorted_shard(table, length)
@@ -386,7 +388,7 @@ def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                 columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]], [*carried, *[f.name for f in added]])
 
     schema = T.StructType([*[T.StructField(c, f.dataType) for c, f in zip(carried, rest, strict=True)], *added])
-    made = both.mapInArrow(cut, schema)
+    made = both.mapInArrow(then_give_back(cut), schema)
     final = made.select(*[F.col(c).alias(f.name) for c, f in zip(carried, rest, strict=True)], *[f.name for f in added][:4],
                         *([F.col("kept_text").alias(text)] if whole else []))
     return final
