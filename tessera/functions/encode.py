@@ -63,8 +63,3 @@ def map_nullable(c, true_tokens=("TRUE", "1"), false_tokens=("FALSE", "0")) -> C
     s = F.upper(F.trim(_c(c).cast("string")))
     return (F.when(s.isin(list(true_tokens)), F.lit(1))
             .when(s.isin(list(false_tokens)), F.lit(0)))
-
-
-def bool_code(c) -> Column:
-    """Alias of ``map_nullable`` with the default tokens."""
-    return map_nullable(c)

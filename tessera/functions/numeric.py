@@ -64,11 +64,3 @@ def lenient_double(c, default=None) -> Column:
     number = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)$"
     parsed = F.when(text.rlike(number), text.try_cast("double"))
     return parsed if default is None else F.coalesce(parsed, F.lit(float(default)))
-
-
-def repair_double(c, fill=0.0) -> Column:
-    """NULL, NaN, +inf and -inf -> ``fill``."""
-    col = _c(c).cast("double")
-    return (F.when(col.isNull() | F.isnan(col) | col.isin(float("inf"), float("-inf")),
-                   F.lit(float(fill)))
-            .otherwise(col))

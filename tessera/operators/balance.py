@@ -83,16 +83,3 @@ def smote(df: DataFrame, id_col: str, label_col: str, vec_col: str, k: int = 5,
     interp = F.zip_with("__bvec", "__nvec",
                         lambda a, b: a.cast("double") + u * (b.cast("double") - a.cast("double")))
     return gen.select(label_col, "synthetic_index", "base_id", "neighbour_id", "u", interp.alias(vec_col))
-
-
-def smote_balanced(df: DataFrame, id_col: str, label_col: str, vec_col: str, k: int = 5,
-                   seed: int = DEFAULT_SEED) -> DataFrame:
-    """Originals plus synthetic rows: (label, row_key, synthetic, vec as array<double>)."""
-    syn = smote(df, id_col, label_col, vec_col, k, seed)
-    orig = df.select(label_col, F.concat(F.lit("o"), F.col(id_col).cast("string")).alias("row_key"),
-                     F.lit(False).alias("synthetic"),
-                     F.transform(vec_col, lambda x: x.cast("double")).alias(vec_col))
-    new = syn.select(label_col, F.concat(F.lit("s"), F.col(label_col).cast("string"), F.lit("_"),
-                                         F.col("synthetic_index").cast("string")).alias("row_key"),
-                     F.lit(True).alias("synthetic"), vec_col)
-    return orig.unionByName(new)

@@ -70,14 +70,6 @@ def _sq_dist_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(acc)
 
 
-def sq_dist_vec(a, b) -> Column:
-    """Vectorised twin of ``sq_dist`` (same sequential order of additions, so the
-    same doubles): higher-order SQL functions run interpreted, this runs as
-    numpy over Arrow batches."""
-    udf = F.pandas_udf(_sq_dist_batch, "double")
-    return udf(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
-
-
 def pivot_distance_udf(pivots: list[list[float]]):
     """Distances of each vector to every pivot (array<double>), numpy per Arrow batch."""
     piv = np.asarray(pivots, dtype=np.float64)

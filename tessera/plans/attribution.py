@@ -47,6 +47,16 @@ def _scored(spark, sf):
     return SC.score_table(aligned, SC.linear_scorer(SCORE_WEIGHTS))
 
 
+def q_align_named(spark, sf):
+    """Named rows as they come to a scorer: some model columns missing, others as text, extra ones."""
+    e = table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    odd = {c: F.get("embedding", F.lit(i)) for i, c in enumerate(MODEL_COLUMNS) if i % 3}
+    odd[MODEL_COLUMNS[1]] = F.when(F.col("label") > 4, odd[MODEL_COLUMNS[1]].cast("string")).otherwise("n/a")
+    named = e.select("vec_id", "label", *[v.alias(c) for c, v in odd.items()])
+    scored = SC.score_table(SC.align_named(named, MODEL_COLUMNS, keep=["vec_id"]), SC.linear_scorer(SCORE_WEIGHTS))
+    return rounded(scored.select("vec_id", "score", "prediction", "label_text"))
+
+
 def q_align_score(spark, sf):
     return rounded(_scored(spark, sf).select("vec_id", "score", "prediction", "label_text"))
 
@@ -60,6 +70,7 @@ QUERIES = {
     "shapley_global": q_shapley_global,
     "top_features": q_top_features,
     "align_score": q_align_score,
+    "align_named": q_align_named,
     "score_summary": q_score_summary,
 }
 
@@ -81,7 +92,15 @@ _ALIGN = ("WITH a AS (SELECT vec_id, " + ", ".join(
         f" + {SCORE_WEIGHTS[c]!r} * {c}" for c in MODEL_COLUMNS) + "))) AS score FROM a),\n"
     "t AS (SELECT vec_id, score, CAST(score >= 0.5 AS INTEGER) AS prediction FROM s)\n")
 
+_NAMED = ("WITH s AS (SELECT vec_id, 1.0 / (1.0 + exp(-(0.0" + "".join(
+    f" + {SCORE_WEIGHTS[c]!r} * " + (f"CASE WHEN label > 4 THEN CAST(embedding[{i + 1}] AS DOUBLE) ELSE 0.0 END" if i == 1
+                                     else f"CAST(embedding[{i + 1}] AS DOUBLE)")
+    for i, c in enumerate(MODEL_COLUMNS) if i % 3) + "))) AS score FROM embeddings),\n"
+    "t AS (SELECT vec_id, score, CAST(score >= 0.5 AS INTEGER) AS prediction FROM s)\n")
+
 ORACLE = {
+    "align_named": _NAMED + f"""SELECT vec_id, round(score, 6) AS score, prediction,
+  CASE WHEN prediction = 1 THEN '{SC.POSITIVE_TEXT}' ELSE '{SC.NEGATIVE_TEXT}' END AS label_text FROM t""",
     "shapley_linear": _PHI + """SELECT l_orderkey, l_linenumber, round(prediction, 6) AS prediction, feature,
   round(value, 6) AS value, round(phi, 6) AS phi, round(base, 6) AS base FROM phi""",
     "shapley_global": _PHI + """SELECT feature, round(mean_abs_phi, 6) AS mean_abs_phi,

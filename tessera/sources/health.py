@@ -56,17 +56,12 @@ CLEVELAND_RENAME = {"condition": "target", "age": "Age", "sex": "Sex", "thalach"
 # -----------------------------------------------------------------------------
 
 
-def _schema(spec: str) -> str:
-    """Schemas are DDL strings (the reader parses them; no session is needed here)."""
-    return spec
-
-
-SURVEY_2020_SCHEMA = _schema(
+SURVEY_2020_SCHEMA = (
     "HeartDisease string, BMI double, Smoking string, AlcoholDrinking string, Stroke string, "
     "PhysicalHealth double, MentalHealth double, DiffWalking string, Sex string, AgeCategory string, "
     "Race string, Diabetic string, PhysicalActivity string, GenHealth string, SleepTime double, "
     "Asthma string, KidneyDisease string, SkinCancer string")
-SURVEY_2022_SCHEMA = _schema(
+SURVEY_2022_SCHEMA = (
     "State string, Sex string, GeneralHealth string, PhysicalHealthDays double, MentalHealthDays double, "
     "LastCheckupTime string, PhysicalActivities string, SleepHours double, RemovedTeeth string, "
     "HadHeartAttack string, HadAngina string, HadStroke string, HadAsthma string, HadSkinCancer string, "
@@ -77,15 +72,15 @@ SURVEY_2022_SCHEMA = _schema(
     "RaceEthnicityCategory string, AgeCategory string, HeightInMeters double, WeightInKilograms double, "
     "BMI double, AlcoholDrinkers string, HIVTesting string, FluVaxLast12 string, PneumoVaxEver string, "
     "TetanusLast10Tdap string, HighRiskLastYear string, CovidPos string")
-CLINICAL_HEART_SCHEMA = _schema(
+CLINICAL_HEART_SCHEMA = (
     "Age double, Sex string, ChestPainType string, RestingBP double, Cholesterol double, FastingBS double, "
     "RestingECG string, MaxHR double, ExerciseAngina string, Oldpeak double, ST_Slope string, "
     "HeartDisease int")
-CLINICAL_UCI_SCHEMA = _schema(
+CLINICAL_UCI_SCHEMA = (
     "id long, age double, sex string, dataset string, cp string, trestbps string, chol string, fbs string, "
     "restecg string, thalch string, exang string, oldpeak string, slope string, ca string, thal string, "
     "num int")
-CLINICAL_CLEVELAND_SCHEMA = _schema(
+CLINICAL_CLEVELAND_SCHEMA = (
     "age double, sex double, cp double, trestbps double, chol double, fbs double, restecg double, "
     "thalach double, exang double, oldpeak double, slope double, ca double, thal double, condition int")
 
