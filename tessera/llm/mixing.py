@@ -184,7 +184,7 @@ def plan(docs: DataFrame, weights: list[float], text: str = "text", key: str = "
 
 def mix(docs: DataFrame, weights: list[float], text: str = "text", key: str = "doc_id", source: str = "source",
         max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS, shard: str = "shard") -> DataFrame:
-    """The mix: the columns of ``docs`` plus ``shard``; a row for each time that a document is taken.
+    """The mix: the columns of ``docs`` plus ``shard`` (which replaces one of that name); a row for each time that a document is taken.
 
     Rows of one shard stand together, in a hashed order.  A key that several rows share is drawn
     once for each of them, by the rows' places in the order.
@@ -193,17 +193,17 @@ def mix(docs: DataFrame, weights: list[float], text: str = "text", key: str = "d
     drawn = drawn.filter(F.size("draws") > 0).select("key", "source", "size", F.explode("draws").alias("draw"))
     # equal keys of one source and size are interchangeable: number them on both sides
     alike = ["key", "source", "size"]
-    drawn = drawn.groupBy(*alike).agg(F.collect_list("draw").alias("all_draws"))
+    drawn = drawn.groupBy(*[F.col(c).alias(f"__d_{c}") for c in alike]).agg(F.collect_list("draw").alias("__all_draws"))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     left = docs.withColumns({"__size": size, "__source": F.col(source).cast("string")})
     rank = F.row_number().over(Window.partitionBy(F.col(key), "__source", "__size").orderBy(F.sha2(text, 256)))
     many = F.count("*").over(Window.partitionBy(F.col(key), "__source", "__size"))
     left = left.withColumns({"__rank": rank - 1, "__many": many})
-    both = left.join(drawn, left[key].eqNullSafe(drawn["key"]) & left["__source"].eqNullSafe(drawn["source"])
-                     & (left["__size"] == drawn["size"]))
+    both = left.join(drawn, left[key].eqNullSafe(drawn["__d_key"]) & left["__source"].eqNullSafe(drawn["__d_source"])
+                     & (left["__size"] == drawn["__d_size"]))
     # the r-th of m alike rows gets the draws r, r + m, r + 2m, ...: m rows share out all draws evenly
     both = both.withColumn("__draw", F.explode(F.expr(
-        "filter(transform(array_sort(all_draws), (x, i) -> if(i % __many = __rank, x, null)), x -> x is not null)")))
-    out = both.select(*[left[c] for c in docs.columns], F.col("__draw.shard").alias(shard),
+        "filter(transform(array_sort(__all_draws), (x, i) -> if(i % __many = __rank, x, null)), x -> x is not null)")))
+    out = both.select(*[left[c] for c in docs.columns if c.lower() != shard.lower()], F.col("__draw.shard").alias(shard),
                       F.md5(F.concat_ws("|", F.lit(SEED), "__draw.pass", left[key].cast("string"))).alias("__at"))
     return out.repartition(F.col(shard)).sortWithinPartitions(shard, "__at").drop("__at")

@@ -29,6 +29,7 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 SKETCH_BITS = 7
 MIN_DOCUMENTS = 200
 FENCE = 4
@@ -39,9 +40,9 @@ ALLOWANCE_LINES = 2
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, with n_words, word_chars, n_symbols, n_lines (with a word),
+    """``docs`` without ``text`` (and without columns of the names that follow), with n_words, word_chars, n_symbols, n_lines (with a word),
     n_dup_lines, n_repeat_words and base_failed."""
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c != text and c.lower() not in MEASURES]
     whole = F.coalesce(F.col(text), F.lit(""))
     bare = F.btrim(whole, F.lit(SPACE))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)

@@ -41,6 +41,7 @@ from tessera.llm.common import fresh, give_back, hash_order, short_batches, then
 from tessera.llm.rolling import Ranges, mixed
 from tessera.session import cut_lineage
 
+RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 LENGTH = 100
 GRAM = 32
 PIECE = 1 << 19  # bytes handled at a time; fits the position bits below
@@ -354,12 +355,12 @@ def _sorted_shard(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, whole: bool = False) -> DataFrame:
-    """The columns of ``docs`` but ``text``, and n_bytes, n_removed, n_spans, kept_sha256; with ``whole``
+    """The columns of ``docs`` but ``text`` (and RESULTS), and n_bytes, n_removed, n_spans, kept_sha256; with ``whole``
     also the remaining text (of characters that lost a byte nothing stays)."""
     docs, rows, size, order = ordered(short_batches(docs), key, text)
     found = removed(docs, order, text, rows, size, length)
     gone = found.groupBy("order").agg(F.collect_list(F.struct("start", "until")).alias("gone"))
-    rest = [f for f in docs.schema.fields if f.name not in (text, order)]
+    rest = [f for f in docs.schema.fields if f.name not in (text, order) and f.name.lower() not in RESULTS]
     # own names for the carried columns: any may clash with the ones added here
     renamed = docs.select(F.col(order).alias("order"), F.col(text).alias("text"), *[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(rest)])
     both = _with_bytes(renamed, gone, "left")

@@ -196,15 +196,16 @@ def fit(labelled: DataFrame, docs: DataFrame, text: str = "text", key: str = "do
         trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=20, maxDepth=3, stepSize=0.3,
                               minInstancesPerNode=2, seed=7).fit(made.filter("fold < 4").coalesce(2).sortWithinPartitions("features"))
         apart = made.filter("fold = 4") if (False, 1.0) in kinds else made
-        margins = _margin(trees, apart).select(F.col("margin"), "label").coalesce(1)
-        calibration = IsotonicRegression(labelCol="label", featuresCol="margin", isotonic=True).fit(margins)
+        margins = _margin(trees, apart).select("__margin", "label").coalesce(1)
+        calibration = IsotonicRegression(labelCol="label", featuresCol="__margin", isotonic=True).fit(margins)
     made.unpersist()
     sample.unpersist()
     return Model(lexicon, trees, calibration)
 
 
 def _margin(trees: GBTClassificationModel, df: DataFrame) -> DataFrame:
-    return trees.setPredictionCol("").setProbabilityCol("").transform(df).withColumn("margin", vector_to_array("rawPrediction")[1])
+    return (trees.setPredictionCol("").setProbabilityCol("").setRawPredictionCol("__raw").transform(df)
+            .withColumn("__margin", vector_to_array("__raw")[1]))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
@@ -213,8 +214,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
     if model.trees is None or model.calibration is None:
         return docs.select(*names, F.lit(0.0).alias(out))
     df = with_features(docs, model.lexicon, text, keep_text, "__features")
-    df = df.withColumn("features__", array_to_vector("__features"))
-    trees = model.trees.copy().setFeaturesCol("features__")
-    calibration = model.calibration.setFeaturesCol("margin").setPredictionCol("__score")
+    df = df.withColumn("__vector", array_to_vector("__features"))
+    trees = model.trees.copy().setFeaturesCol("__vector")
+    calibration = model.calibration.setFeaturesCol("__margin").setPredictionCol("__score")
     df = calibration.transform(_margin(trees, df))
     return df.select(*names, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("__score", F.lit(0.0)))).alias(out))

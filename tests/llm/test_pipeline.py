@@ -36,3 +36,23 @@ def test_stages_on_odd_and_empty_tables(spark, odd, none):
 def test_one_query_for_each_operator():
     assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 11))
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_columns_of_clashing_names(spark):
+    """Columns named like those that the operators add come through untouched, or are replaced as documented."""
+    from tessera.llm import langid, mixing, ngram_join, quality, suffix_dedup, toxicity
+    extra = ["key", "size", "draws", "all_draws", "units", "rank", "margin", "rawPrediction", "features", "ck", "bands", "order", "start", "z", "gone",
+             "words", "hash", "label", "block", "range", "chunk", "ids"]
+    docs = spark.createDataFrame([(i, f"some words of text number {i} and a few more words", "en", "s", i, *[f"v{i}"] * len(extra)) for i in range(6)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in extra))
+    kept = lambda df: {tuple(r[c] for c in extra) for r in df.collect()}
+    want = {tuple([f"v{i}"] * len(extra)) for i in range(6)}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert kept(stage(spark, docs, SF_SMALL)) == want, name
+    assert kept(langid.predict(docs, None)) == want and kept(toxicity.score(docs, toxicity.Model({}, None, None))) == want
+    assert kept(suffix_dedup.clean(docs)) == want and kept(mixing.mix(docs, [1])) == want
+    assert kept(ngram_join.one_of_each(docs)) == want
+    doubled = docs.withColumns({"n_words": F.lit("x"), "kept": F.lit("x"), "n_bytes": F.lit("x"), "shard": F.lit("x")})
+    assert {r.kept for r in quality.judge(doubled).collect()} <= {True, False}
+    assert {r.n_bytes for r in suffix_dedup.clean(doubled).collect()} == {len("some words of text number 0 and a few more words")}
+    assert {r.shard for r in mixing.mix(doubled, [1]).collect()} == {0}
