@@ -44,10 +44,10 @@ from tessera.session import cut_lineage
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 LENGTH = 100
 GRAM = 32
-PIECE = 1 << 19  # bytes handled at a time; fits the position bits below
+PIECE = 1 << 18  # bytes handled at a time; fits the position bits below
 POSITION_BITS = 24
 BUCKET_BYTES = 8 << 20  # input bytes by bucket of anchors
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 SAMPLE_DOCS = 4_000
 FREQUENT = 0.01
 

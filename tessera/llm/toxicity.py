@@ -25,18 +25,20 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import hash_order, short_batches, then_give_back
 
+if TYPE_CHECKING:  # workers import this module for the features: they need no learners
+    from pyspark.ml.classification import GBTClassificationModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+
 SAMPLE_ROWS = 12_000
 MAX_LEXICON = 4_096
 LIFT = 3.0
@@ -178,6 +180,10 @@ def learn_lexicon(rows: DataFrame) -> dict[bytes, float]:
 
 def fit(labelled: DataFrame, docs: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
     """Learn from ``labelled`` (key, label); their texts are found in ``docs`` by key."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import IsotonicRegression
+
     rows = (labelled.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key"))
             .agg(F.max(F.col(label).cast("int")).alias("label")))
     total = rows.count()
@@ -204,12 +210,16 @@ def fit(labelled: DataFrame, docs: DataFrame, text: str = "text", key: str = "do
 
 
 def _margin(trees: GBTClassificationModel, df: DataFrame) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
     return (trees.setPredictionCol("").setProbabilityCol("").setRawPredictionCol("__raw").transform(df)
             .withColumn("__margin", vector_to_array("__raw")[1]))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
     """``docs`` with ``out``, the calibrated probability that a text is toxic."""
+    from pyspark.ml.functions import array_to_vector
+
     names = [c for c in docs.columns if c != out and (keep_text or c != text)]
     if model.trees is None or model.calibration is None:
         return docs.select(*names, F.lit(0.0).alias(out))
