@@ -11,10 +11,12 @@ document, or earlier in the same one).  Strings never cross documents and are ju
    dealt to shards by anchor; a shard's suffixes are sorted by recursive induction
    (``induced.py``: bucket queues, on disk if large), and neighbours with a common prefix of
    ``length`` bytes are equal strings, of which the earliest place stays.
-3. Frequent anchors.  An anchor that a hundredth of a sample of the documents holds could fill a
-   shard by itself (the rim of a passage that everybody copies, always in another context).  Its
-   segments are dealt by (anchor, content), and its strings one by one by their own 128-bit hash.
-   The sample only chooses the route; both routes are exact for all rows.
+3. Frequent anchors.  An anchor with over SHARD_BYTES of differing segments would fill a shard by
+   itself (the rim of a passage that many copy, always in another context).  Its strings are dealt
+   one by one by their own 128-bit hash, after each STRINGS of them have kept their earliest places.
+   The bytes are counted over all rows, where an anchor's segments meet.  Anchors that a hundredth
+   of a sample of the documents hold don't even meet there: their segments are dealt by (anchor,
+   content) and take this route at once.  Both routes are exact for all rows.
 
 Shuffled rows carry packed arrays.  Places are (document's order, byte), the order being the
 key's; rows that share a key come one after another, by text, and null keys first.
@@ -50,6 +52,7 @@ BUCKET_BYTES = 8 << 20  # input bytes by bucket of anchors
 SHARD_BYTES = 1 << 19
 SAMPLE_DOCS = 4_000
 FREQUENT = 0.01
+STRINGS = 1 << 17  # places of single strings held by a task at a time
 
 
 def _pieces(docs: list[tuple[int, bytes]], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -172,10 +175,21 @@ def ordered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, int,
     return docs.withColumn(name, at * F.lit(int(most)) + copy), found["rows"], found["bytes"] or 0, name
 
 
+def routes(anchor: np.ndarray, size: np.ndarray, frequent: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(may hold equal strings, its strings go one by one) of each of the differing segments that met."""
+    _, back, count = np.unique(anchor, return_inverse=True, return_counts=True)
+    whole = np.zeros(len(count), "i8")
+    np.add.at(whole, back, size)
+    known = np.isin(anchor, frequent)
+    meets = (count[back] > 1) | known
+    return meets, known | (meets & (whole[back] > limit))
+
+
 def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length: int = LENGTH) -> DataFrame:
     """order, start, until: byte ranges to remove (they may touch or overlap)."""
     buckets = max(1, -(-size // BUCKET_BYTES))
     frequent = _frequent(docs, order, text, rows, length)
+    limit = SHARD_BYTES
     whole = docs.filter(F.octet_length(text) >= length).select(F.col(order).alias("order"), F.col(text).alias("text"))
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,12 +219,10 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
         end = found["start"] + found["size"]
         o, s, e = spans(*(np.concatenate(x) for x in zip(gone, (found["order"][~first], found["start"][~first], end[~first]), strict=True)))
         left = {n: found[n][first] for n in _PACKED}
-        _, back, count = np.unique(left["anchor"], return_inverse=True, return_counts=True)
-        hot = np.isin(left["anchor"], frequent)
-        meets = (count[back] > 1) | hot
+        meets, hot = routes(left["anchor"], left["size"], frequent, limit)
         left = {n: v[meets] for n, v in left.items()}
         hot = hot[meets]
-        del found, first, end, back, count
+        del found, first, end
         give_back()
         return pa.table({"order": pa.array(np.concatenate((o, left["order"]))), "start": pa.array(np.concatenate((s, left["start"]))),
                          "until": pa.array(np.concatenate((e, left["start"] + left["size"]))),
@@ -228,7 +240,7 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
     shards = max(1, -(-int(total) // SHARD_BYTES))
     wanted = open_ones.groupBy("order").agg(F.collect_list(F.struct("start", "until", "anchor", "kind")).alias("parts"))
     snippets = cut_lineage(_with_bytes(docs.select(F.col(order).alias("order"), F.col(text).alias("text")), wanted).mapInArrow(
-        then_give_back(_cut(length, shards)), "kind int, shard long, order binary, start binary, size binary, anchor binary, second binary, bytes binary"))
+        then_give_back(_cut(length, shards, STRINGS)), "kind int, shard long, order binary, start binary, size binary, anchor binary, second binary, bytes binary"))
 
     def suffixes(table: pa.Table) -> pa.Table:
         made = _sorted_shard(table, length)
@@ -241,10 +253,16 @@ def removed(docs: DataFrame, order: str, text: str, rows: int, size: int, length
         start = found["start"][~first]
         return pa.table(_ranges_table(*spans(found["order"][~first], start, start + length)))
 
+    def cut_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            o, s, n = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "i8") for c in ("order", "start", "size"))
+            yield pa.RecordBatch.from_pydict(_ranges_table(o, s, s + n))
+
     out = "order long, start long, until long"
+    at_once = snippets.filter("kind = 0").select("order", "start", "size").mapInArrow(cut_off, out)
     by_suffix = snippets.filter("kind = 1").groupBy("shard").applyInArrow(suffixes, out)
     by_string = snippets.filter("kind = 2").groupBy("shard").applyInArrow(strings, out)
-    return gone.unionByName(by_suffix).unionByName(by_string)
+    return gone.unionByName(at_once).unionByName(by_suffix).unionByName(by_string)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes]]]:
@@ -295,13 +313,33 @@ def _with_bytes(docs: DataFrame, wanted: DataFrame, how: str = "inner") -> DataF
     return docs.mapInArrow(press, T.StructType([*keep, T.StructField("z", T.BinaryType())])).join(wanted, "order", how)
 
 
-def _cut(length: int, shards: int):
+def _cut(length: int, shards: int, most: int):
+    names = ["order", "start", "size", "anchor", "second", "bytes"]
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        kind, shard, *rest = zip(*rows, strict=True)
+        return pa.RecordBatch.from_pydict({"kind": pa.array(kind, pa.int32()), "shard": pa.array(shard, pa.int64()),
+                                           **{n: pa.array(x, pa.binary()) for n, x in zip(names, rest, strict=True)}})
+
+    def one_by_one(strings: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
+        """Of equal strings the earliest place goes on to its shard; the other places go at once."""
+        joined = {n: np.concatenate([x[n] for x in strings]) for n in ("anchor", "second", "order", "start")}
+        first = earliest(joined["anchor"], joined["second"], order=joined["order"], start=joined["start"])
+        late = joined["start"][~first]
+        o, s, e = spans(joined["order"][~first], late, late + length)
+        rows = [(0, 0, *(x.tobytes() for x in (o, s, e - s)), b"", b"", b"")] if len(o) else []
+        joined = {n: v[first] for n, v in joined.items()}
+        bucket = (mixed(joined["anchor"]) % np.uint64(shards)).astype("i8")
+        for b, (a, second, o, s) in _pack(joined, ["anchor", "second", "order", "start"], bucket, shards):
+            rows.append((2, b, o, s, b"", a, second, b""))
+        return rows_of(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_up = zstandard.ZstdDecompressor()
-        names = ["order", "start", "size", "anchor", "second", "bytes"]
+        strings: list[dict[str, np.ndarray]] = []
+        places = 0
         for batch in batches:
             held: dict[tuple[int, int], list[list]] = {}
-            strings: list[tuple[int, int, bytes]] = []
             for order, z, parts in zip(batch.column("order").to_pylist(), batch.column("z"), batch.column("parts").to_pylist(), strict=True):
                 data = open_up.decompress(z.as_buffer().to_pybytes())
                 for p in parts:
@@ -309,28 +347,23 @@ def _cut(length: int, shards: int):
                     if p["kind"] == 1:
                         shard = int(mixed(np.array([p["anchor"]], "i8").view("u8"))[0] % np.uint64(shards))
                         held.setdefault((1, shard), []).append((order, p["start"], len(piece), p["anchor"], piece))
-                    else:
-                        strings.append((order, p["start"], piece))
+                        continue
+                    raw = np.frombuffer(piece, "u1")
+                    count = len(raw) - length + 1
+                    strings.append({"anchor": Ranges(raw).all(length), "second": Ranges(raw[::-1]).all(length)[::-1],
+                                    "order": np.full(count, order), "start": np.arange(p["start"], p["start"] + count)})
+                    places += count
+                    if places >= most:
+                        yield one_by_one(strings)
+                        strings, places = [], 0
             rows = []
             for (kind, shard), found in held.items():
                 o, s, n, a, b = zip(*found, strict=True)
                 rows.append((kind, shard, *(np.array(x, "i8").tobytes() for x in (o, s, n, a)), b"", b"".join(b)))
-            if strings:  # every string by itself; the earliest of this batch stands for its copies
-                columns = {n: [] for n in ("anchor", "second", "order", "start")}
-                for order, start, piece in strings:
-                    raw = np.frombuffer(piece, "u1")
-                    columns["anchor"].append(Ranges(raw).all(length))
-                    columns["second"].append(Ranges(raw[::-1]).all(length)[::-1])
-                    columns["order"].append(np.full(len(raw) - length + 1, order))
-                    columns["start"].append(np.arange(start, start + len(raw) - length + 1))
-                joined = {n: np.concatenate(v) for n, v in columns.items()}
-                bucket = (mixed(joined["anchor"]) % np.uint64(shards)).astype("i8")
-                for b, (a, second, o, s) in _pack(joined, ["anchor", "second", "order", "start"], bucket, shards):
-                    rows.append((2, b, o, s, b"", a, second, b""))
             if rows:
-                kind, shard, *rest = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_pydict({"kind": pa.array(kind, pa.int32()), "shard": pa.array(shard, pa.int64()),
-                                                  **{n: pa.array(x, pa.binary()) for n, x in zip(names, rest, strict=True)}})
+                yield rows_of(rows)
+        if strings:
+            yield one_by_one(strings)
 
     return run
 

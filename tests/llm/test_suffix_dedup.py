@@ -2,7 +2,9 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from tessera.llm import induced, suffix_dedup as sd
 from tests.llm.conftest import prose
@@ -102,3 +104,32 @@ def test_whole_texts_and_carried_columns(odd, none):
 def test_spans():
     o, s, e = sd.spans(np.array([1, 0, 0, 0, 1]), np.array([5, 0, 50, 8, 0]), np.array([9, 10, 60, 20, 5]))
     assert list(zip(o.tolist(), s.tolist(), e.tolist(), strict=True)) == [(0, 0, 20), (0, 50, 60), (1, 0, 9)]
+
+
+def test_an_anchor_that_fills_a_shard_goes_by_strings():
+    # 40 differing segments of 150 bytes below one anchor that no sample found, 2 below another, 1 alone
+    anchor, size = np.array([7] * 40 + [8] * 2 + [9], "u8"), np.full(43, 150, "i8")
+    meets, hot = sd.routes(anchor, size, np.zeros(0, "u8"), 3_000)
+    assert meets.tolist() == [True] * 42 + [False] and hot.tolist() == [True] * 40 + [False] * 3
+    meets, hot = sd.routes(anchor, size, np.array([9], "u8"), 1 << 19)
+    assert meets.all() and hot.tolist() == [False] * 42 + [True]
+
+
+@pytest.mark.parametrize("most,times", [(1 << 17, 1), (102, 50)])
+def test_a_common_string_leaves_a_task_once(most, times):
+    # 100 documents with one text of 150 bytes, in 10 batches; a task that holds 102 places sees 2 copies together
+    data = prose(1, 60).encode()[:150]
+    z = zstandard.ZstdCompressor().compress(data)
+    part = [{"start": 0, "until": 150, "anchor": 5, "kind": 2}]
+    batches = [pa.RecordBatch.from_pydict({"order": [10 * b + i for i in range(10)], "z": [z] * 10, "parts": [part] * 10}) for b in range(10)]
+    sent, gone = [], []
+    for made in sd._cut(100, 4, most)(iter(batches)):
+        for r in made.to_pylist():
+            o, s, n = (np.frombuffer(r[c], "i8").tolist() for c in ("order", "start", "size"))
+            if r["kind"] == 2:
+                sent += zip(o, s, strict=True)
+            else:
+                gone += zip(o, s, n, strict=True)
+    firsts = range(0, 100, 100 // times)
+    assert sorted(sent) == [(o, s) for o in firsts for s in range(51)]
+    assert sorted(gone) == [(o, 0, 150) for o in range(100) if o not in firsts]
