@@ -12,7 +12,7 @@ from tessera.operators import models as MD
 from tessera.operators.explain import local_surrogate, shapley_sampled
 from tessera.operators.sampling import sample_fixed, stratified_split
 from tessera.operators.scaling import fit_scaler
-from tessera.operators.tuning import tune_gbt
+from tessera.operators.tuning import N_TRIALS, tune_gbt
 from tessera.plans.common import rounded, table
 from tessera.session import cut_lineage
 
@@ -20,7 +20,7 @@ QUERY_SHARE = 0.2
 K_VOTE = 7
 K_SMOTE = 5
 N_DIM = 64
-TUNE_TRIALS = 2       # the operator's default is 50; the check run uses 2 trials (minutes per fit locally)
+TUNE_PARALLEL = 4     # fits at a time
 N_PERM = 8
 LOCAL_ROWS = 3
 SURROGATE_SAMPLES = 1000
@@ -117,7 +117,7 @@ def q_model_compare(spark, sf):
 
 def q_tune_gbt(spark, sf):
     tr, va = _train_val(spark, sf)
-    return rounded(tune_gbt(tr, va, "y", n_trials=TUNE_TRIALS, parallelism=TUNE_TRIALS))
+    return rounded(tune_gbt(tr, va, "y", n_trials=N_TRIALS, parallelism=TUNE_PARALLEL))
 
 
 def q_shapley_sampled(spark, sf):

@@ -1,9 +1,13 @@
 """kNN exactness and pruning, SMOTE invariants, Shapley additivity, model fits."""
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from conftest import SF_SMALL
 from tessera.operators import models as MD
+from tessera.operators import tuning
 from tessera.operators.balance import smote
 from tessera.operators.explain import shapley_sampled
 from tessera.operators.neighbours import nearest, sq_dist
@@ -109,3 +113,20 @@ def test_shapley_linear_local_breakdown_adds_up(spark):
     chk = phi.groupBy("rid").agg(
         (F.sum("phi") + F.first("base")).alias("s"), F.first("prediction").alias("p"))
     assert chk.where(F.abs(F.col("s") - F.col("p")) > 1e-9).count() == 0
+
+
+def test_tuning_query_fits_every_trial(spark, monkeypatch):
+    fits = []
+
+    def fit(train, label, features, **params):
+        fits.append(params)
+        return SimpleNamespace(fit_seconds=0.0)
+
+    class Found:
+        def first(self):
+            return dict.fromkeys(tuning.TRIAL_METRICS, 0.5)
+
+    monkeypatch.setattr(tuning.MD, "fit_gbt", fit)
+    monkeypatch.setattr(tuning.MD, "evaluate_model", lambda model, val, label: Found())
+    trials = E.queries()["tune_gbt"](spark, SF_SMALL).collect()
+    assert sorted(r["trial"] for r in trials) == list(range(50)) and len(fits) == 50
