@@ -33,18 +33,31 @@ def q_stream_drift(spark, sf):
                               "statistic", "p_value", "drifted", "drift_percentage", "dataset_drift"))
 
 
-def q_stream_window_metrics(spark, sf):
-    s = event_stream(spark, sf)
-    agg = SM.windowed_metrics(s, "ts", F.col("event_type") == "purchase",
-                              F.coalesce(F.col("value") > 100, F.lit(False)), "1 day", DELAY)
+def _window_columns():
+    return F.col("event_type") == "purchase", F.coalesce(F.col("value") > 100, F.lit(False))
+
+
+def _closed_windows(spark, sf):
+    agg = SM.windowed_metrics(event_stream(spark, sf), "ts", *_window_columns(), "1 day", DELAY)
     sink = SM.scratch_path(spark, "windows")
     SM.run_to_table(agg, sink, sink + "-ckpt")
-    return rounded(spark.read.parquet(sink))
+    return spark.read.parquet(sink)
+
+
+def q_stream_window_metrics(spark, sf):
+    return rounded(_closed_windows(spark, sf))
+
+
+def q_stream_window_metrics_all(spark, sf):
+    """With the windows still open at the end, which the SQL of ``stream_window_metrics`` leaves out."""
+    events = spark.read.parquet(os.path.join(sf, "events.parquet"))
+    return rounded(SM.with_open_windows(_closed_windows(spark, sf), events, "ts", *_window_columns(), "1 day"))
 
 
 QUERIES = {
     "stream_drift": q_stream_drift,
     "stream_window_metrics": q_stream_window_metrics,
+    "stream_window_metrics_all": q_stream_window_metrics_all,
 }
 
 _LATER_LONG = f"""
@@ -70,4 +83,11 @@ SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(count(*) AS BIGIN
   CAST(count_if(y = 0 AND p = 0) AS BIGINT) AS tn, CAST(count_if(y = 1 AND p = 0) AS BIGINT) AS fn,
   round(CAST(count_if(y = p) AS DOUBLE) / count(*), 6) AS accuracy
 FROM e GROUP BY ws HAVING ws + INTERVAL 1 DAY <= (SELECT wm FROM lim)""",
+    "stream_window_metrics_all": """WITH e AS (SELECT date_trunc('day', ts) AS ws, CAST(event_type = 'purchase' AS INTEGER) AS y,
+    CAST(coalesce(value > 100, false) AS INTEGER) AS p FROM events WHERE ts IS NOT NULL)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(count(*) AS BIGINT) AS n,
+  CAST(count_if(y = 1 AND p = 1) AS BIGINT) AS tp, CAST(count_if(y = 0 AND p = 1) AS BIGINT) AS fp,
+  CAST(count_if(y = 0 AND p = 0) AS BIGINT) AS tn, CAST(count_if(y = 1 AND p = 0) AS BIGINT) AS fn,
+  round(CAST(count_if(y = p) AS DOUBLE) / count(*), 6) AS accuracy
+FROM e GROUP BY ws""",
 }

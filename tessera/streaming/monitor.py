@@ -8,6 +8,8 @@
   with a watermark for late rows, in append mode (a window is emitted once,
   after the watermark passes its end).  Event time must be TIMESTAMP (LTZ);
   TIMESTAMP_NTZ is cast first.
+* ``with_open_windows`` - the windows still open when a stream of given events
+  has ended, by a final batch pass.
 """
 
 from __future__ import annotations
@@ -62,7 +64,11 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
 def windowed_metrics(stream: DataFrame, ts: str, label, pred, window: str = "1 day",
                      delay: str = "1 hour") -> DataFrame:
     """Streaming aggregate: per tumbling window, tp/fp/tn/fn, rows and accuracy."""
-    s = event_time(stream, ts).withWatermark(ts, delay)
+    return window_rows(event_time(stream, ts).withWatermark(ts, delay), ts, label, pred, window)
+
+
+def window_rows(s: DataFrame, ts: str, label, pred, window: str) -> DataFrame:
+    """The rows of ``windowed_metrics``, of a stream with a watermark or of a table."""
     y = (F.col(label) if isinstance(label, str) else label).cast("int")
     p = (F.col(pred) if isinstance(pred, str) else pred).cast("int")
     agg = s.groupBy(F.window(ts, window).alias("w")).agg(
@@ -81,3 +87,10 @@ def run_to_table(agg: DataFrame, sink: str, checkpoint: str) -> None:
     q = (agg.writeStream.outputMode("append").format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def with_open_windows(emitted: DataFrame, events: DataFrame, ts: str, label, pred, window: str = "1 day") -> DataFrame:
+    """``emitted`` (a finished stream's windows) and, by one batch aggregate over the same events, the windows it
+    lacks as the watermark never passed their end."""
+    found = window_rows(event_time(events, ts).where(F.col(ts).isNotNull()), ts, label, pred, window)
+    return emitted.unionByName(found.join(emitted.select("window_start"), on="window_start", how="left_anti"))

@@ -68,6 +68,13 @@ def test_stream_window_metrics_emits_closed_windows(spark):
     assert out.agg(F.sum("n")).first()[0] <= spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
 
 
+def test_every_event_is_in_a_window(spark):
+    out = E.queries()["stream_window_metrics_all"](spark, SF_SMALL).collect()
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("ts is not null")
+    assert sum(r["n"] for r in out) == events.count()
+    assert len({r["window_start"] for r in out}) == len(out) == events.select(F.to_date("ts")).distinct().count()
+
+
 def test_next_version_and_promotion(spark):
     reg = spark.createDataFrame([("a", 1, "None", 1), ("a", 2, "None", 2), ("b", 1, "Production", 3)],
                                 "model string, version int, stage string, seq int")
