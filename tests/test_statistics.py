@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from tests.conftest import SF_MID, SF_SMALL
 from tessera.operators import metrics as M
 from tessera.operators import prefix
 from tessera.operators.sampling import batch_slice, stratified_split
