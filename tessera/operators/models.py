@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, MultilayerPerceptronClassifier)
 from pyspark.ml.feature import VectorAssembler
@@ -165,10 +165,26 @@ def fit_svm_rff(train: DataFrame, n_features: int, label: str = "label", feature
     n = max(train.count(), 1)
     svc = LinearSVC(labelCol=label, featuresCol="rff", rawPredictionCol="svm_raw", predictionCol="svm_pred",
                     regParam=1.0 / (p["C"] * n), maxIter=100)
-    to_margin = MarginToVector()
     platt = LogisticRegression(labelCol=label, featuresCol="margin", maxIter=100)
-    pipe = Pipeline(stages=[svc, to_margin, platt])
-    return _fit("svm_rff", pipe, train, {**p, "gamma": gamma}, pre=rff)
+    return _fit("svm_rff", MarginPlatt(svc, platt), train, {**p, "gamma": gamma}, pre=rff)
+
+
+class MarginPlatt:
+    """Fits the margin classifier, then the logistic layer on its margin.
+
+    Models are used without their training summaries: a summary holds the training table and its
+    session, which tasks would have to serialise with the model.
+    """
+
+    def __init__(self, svc: LinearSVC, platt: LogisticRegression):
+        self.svc, self.platt = svc, platt
+
+    def fit(self, x: DataFrame) -> PipelineModel:
+        margin = self.svc.fit(x).copy()  # copies leave the summary out
+        to_margin = MarginToVector()
+        layer = self.platt.fit(to_margin.transform(margin.transform(x)).select(self.platt.getLabelCol(), "margin"))
+        layer._java_obj.setSummary(x.sparkSession._jvm.scala.Option.empty())
+        return PipelineModel([margin, to_margin, layer])
 
 
 class MarginToVector(Transformer):
