@@ -4,8 +4,8 @@ Texts of up to ``chunk_chars`` code points are encoded where they are.  Longer o
 into chunks that overlap, and the chunks are handled in parallel:
 
 1. every chunk is pre-tokenised from its own first character; its boundaries in the zone that
-   it shares with a neighbour are kept (``overlap`` code points, without the last token, which
-   more text could lengthen);
+   it shares with a neighbour are kept (``overlap`` code points, without the last places, which
+   more text could move);
 2. per text, neighbours are stitched at the first boundary that both parses have.  A match of
    the pattern depends only on the text from its start on, so two parses that share a boundary
    agree from there on: the first chunk's parse is the true one, and by induction so is every
@@ -36,6 +36,7 @@ from tessera.session import cut_lineage
 
 CHUNK_CHARS = 32_768
 OVERLAP = 2_048
+AHEAD = 2  # code points behind a token that can change it: the longest contraction less one
 
 
 @lru_cache(maxsize=2)
@@ -141,8 +142,9 @@ def _encode_long(texts: DataFrame, path: str, pattern: str, chunk_chars: int, ov
                 at = boundaries(chunk, pattern)
                 start = number * chunk_chars
                 head.append([start + b for b in at if b < overlap])
-                # the token that touches the end of the chunk may go on: its start holds, what follows doesn't
-                tail.append([start + b for b in at if b >= chunk_chars])
+                # a token that ends AHEAD before the chunk does is final, and so is the boundary there; later ones
+                # could move with more text (a cut run, or "'l" of "'ll")
+                tail.append([start + b for b in at if chunk_chars <= b <= len(chunk) - AHEAD])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("text_key"), batch.column("chunk_no"), pa.array(head, pa.list_(pa.int64())),
                  pa.array(tail, pa.list_(pa.int64()))], ["text_key", "chunk_no", "head", "tail"])

@@ -38,3 +38,12 @@ def test_stitch_without_a_common_boundary_is_one_piece():
 
 def test_empty_table(none):
     assert bpe_queries.digests(none).collect() == []
+
+
+def test_a_contraction_cut_by_a_chunk_is_no_boundary(spark):
+    # two chunks out of step until the cut: "'l" of "'ll" at the first one's end must not be trusted
+    texts = ["x" * k + "'ll'll'll'll'll'll'll" * 12 for k in range(6)] + ["a'" * k + "re've'll" * 40 for k in range(4)]
+    for chunk, overlap in [(24, 5), (25, 4), (26, 6), (9, 3)]:
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = sorted((r.doc_id, bytes(r.ids)) for r in bpe.encode_documents(df, PATH, PATTERN, chunk_chars=chunk, overlap=overlap).collect())
+        assert got == [(i, whole(t)) for i, t in enumerate(texts)]
