@@ -19,7 +19,8 @@ document, or earlier in the same one).  Strings never cross documents and are ju
    content) and take this route at once.  Both routes are exact for all rows.
 
 Shuffled rows carry packed arrays.  Places are (document's order, byte), the order being the
-key's; rows that share a key come one after another, by text, and null keys first.
+key's; rows that share a key come one after another, by the first HEAD characters and
+the digests of their texts, and null keys first.
 
 Defined results: a null or empty text has no bytes; texts shorter than ``length`` lose nothing;
 repeated rows lose what an earlier copy holds; an empty table gives no rows; other columns are
@@ -34,13 +35,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm import induced
 from tessera.llm.common import fresh, give_back, hash_order, short_batches, then_give_back
 from tessera.llm.rolling import Ranges, mixed
+from tessera.operators import prefix
 from tessera.session import cut_lineage
 
 RESULTS = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -52,6 +54,7 @@ BUCKET_BYTES = 8 << 20  # input bytes by bucket of anchors
 SHARD_BYTES = 1 << 19
 SAMPLE_DOCS = 4_000
 FREQUENT = 0.01
+HEAD = 64  # code points by which rows of one key are ordered before their digests
 STRINGS = 1 << 17  # places of single strings held by a task at a time
 
 
@@ -163,16 +166,22 @@ def _ranges_table(order, start, end) -> dict[str, pa.Array]:
 
 
 def ordered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, int, str]:
-    """(docs with a column that orders the rows, rows, bytes, its name)."""
-    found = docs.agg(F.count("*").alias("rows"), F.count(key).alias("known"), F.min(key).alias("least"),
-                     F.sum(F.coalesce(F.octet_length(text), F.lit(0))).alias("bytes")).first()
-    most = docs.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    """(docs with a column that orders the rows, rows, bytes, its name).
+
+    Integer keys that differ are their own order.  Otherwise (repeated, null or other keys) the rows are
+    numbered by key and text, cut by ranges: many rows of one key are never one task's, and no number
+    depends on the size of a key.
+    """
+    found = docs.agg(F.count("*").alias("rows"), F.count(key).alias("known"), F.sum(F.coalesce(F.octet_length(text), F.lit(0))).alias("bytes")).first()
     name = fresh(docs, "order")
-    at = F.coalesce(F.col(key).cast("long"), F.lit((found["least"] or 0) - 1))
-    if most == 1:
-        return docs.withColumn(name, at), found["rows"], found["bytes"] or 0, name
-    copy = F.row_number().over(Window.partitionBy(key).orderBy(F.col(text).asc_nulls_first())) - 1
-    return docs.withColumn(name, at * F.lit(int(most)) + copy), found["rows"], found["bytes"] or 0, name
+    plain = isinstance(docs.schema[key].dataType, T.IntegralType) and found["known"] == found["rows"]
+    if plain and (docs.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1) == 1:
+        return docs.withColumn(name, F.col(key).cast("long")), found["rows"], found["bytes"] or 0, name
+    tie = fresh(docs, "tie")  # tells equal rows apart; ``running`` writes it down before it is used
+    numbered = prefix.row_number(docs.withColumn(tie, F.monotonically_increasing_id()), [],
+                                 [F.col(key).asc_nulls_first(), F.substring(text, 1, HEAD).asc_nulls_first(), F.sha2(text, 256).asc(),
+                                  F.col(tie).asc()], name)
+    return numbered.drop(tie), found["rows"], found["bytes"] or 0, name
 
 
 def routes(anchor: np.ndarray, size: np.ndarray, frequent: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:

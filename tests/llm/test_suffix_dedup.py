@@ -133,3 +133,19 @@ def test_a_common_string_leaves_a_task_once(most, times):
     firsts = range(0, 100, 100 // times)
     assert sorted(sent) == [(o, s) for o in firsts for s in range(51)]
     assert sorted(gone) == [(o, 0, 150) for o in range(100) if o not in firsts]
+
+
+def test_ids_at_the_ends_of_the_range_and_repeated(spark):
+    shared, top, low = prose(1, 40), 2**63 - 1, -(2**63)
+    for rows in ([(top, "a " + shared), (top, "b " + shared), (low, shared)], [(2**62 + 1, "a " + shared), (2**62 + 1, "b " + shared), (None, shared), (low, shared)],
+                 [(low, shared), (top, shared + " z"), (0, "q " + shared)]):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        got = {(r.doc_id, r.n_bytes): (r.n_removed, r.n_spans, r.kept_sha256) for r in sd.clean(df).collect()}
+        ranked = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        assert got == {(k, n): tuple(rest) for (k, _), (n, *rest) in zip(ranked, brute([t for _, t in ranked]), strict=True)}
+
+
+def test_text_keys_are_ordered_too(spark):
+    shared = prose(1, 40)
+    got = {r.doc_id: r.n_removed for r in sd.clean(spark.createDataFrame([("b", shared), ("a", shared)], "doc_id string, text string")).collect()}
+    assert got == {"a": 0, "b": len(shared)}
