@@ -43,14 +43,22 @@ def sha256_hex(data: bytes) -> str:
 
 
 BATCH_ROWS = 1_024
+BATCH_BYTES = 4 << 20
 
 
 def short_batches(df: DataFrame) -> DataFrame:
-    """``df``; from here on its session hands whole texts to Python ``BATCH_ROWS`` at a time at most,
-    which bounds the buffers on both sides."""
-    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
+    """``df``; its session hands whole texts to Python ``BATCH_ROWS`` and ``BATCH_BYTES`` at a time at most
+    (or one longer text), which bounds the buffers on both sides.
+
+    The bounds are settings that a lazy plan reads when it runs, so they stay with the session; they are
+    only ever lowered, and other results don't depend on them.
+    """
+    spark = df.sparkSession
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < size(spark.conf.get(name)) <= most:
+            spark.conf.set(name, str(most))
     return df
 
 
