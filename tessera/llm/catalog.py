@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 _MODULES = ["bpe_queries", "mixing_queries", "quality_queries", "winnow_queries", "toxicity_queries", "langid_queries", "chat_queries", "url_queries", "ngram_queries", "suffix_queries",
-            "whitening_queries", "periodic_queries"]
+            "whitening_queries", "periodic_queries", "simhash_queries"]
 
 
 def queries():
