@@ -207,13 +207,23 @@ def class_report(df: DataFrame, label, pred, by: list[str] | None = None) -> Dat
     return classes.unionByName(acc).unionByName(macro).unionByName(weighted)
 
 
+def ranking(df: DataFrame, label, score, by: list[str] | None = None) -> DataFrame:
+    """(auc, avg_precision) from one table of score counts and one running sum."""
+    by = by or []
+    pts = roc_points(df, label, score, by)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    below = F.col("N").cast("double") - F.col("fp").cast("double") + neg / 2.0
+    step = _ratio(F.col("pos"), F.col("P")) * _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
+    out = pts.groupBy(*by).agg(F.sum(pos * below).alias("u"), F.max("P").alias("P"), F.max("N").alias("N"), F.sum(step).alias("avg_precision"))
+    auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P").cast("double") * F.col("N").cast("double")))
+    return out.select(*by, auc.alias("auc"), "avg_precision")
+
+
 def evaluate(df: DataFrame, label, pred, score, by: list[str] | None = None) -> DataFrame:
     """The full metric row of a model: counts, ratios, AUC, log loss, average precision."""
     by = by or []
     base = binary_metrics(df, label, pred, by)
-    extra = [roc_auc(df, label, score, by), log_loss(df, label, score, by),
-             avg_precision(df, label, score, by)]
-    for e in extra:
+    for e in (ranking(df, label, score, by), log_loss(df, label, score, by)):
         base = base.join(e, on=by) if by else _join_scalar_row(base, e)
     return base
 

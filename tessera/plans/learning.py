@@ -12,7 +12,8 @@ from tessera.operators import models as MD
 from tessera.operators.explain import local_surrogate, shapley_sampled
 from tessera.operators.sampling import sample_fixed, stratified_split
 from tessera.operators.scaling import fit_scaler
-from tessera.operators.tuning import N_TRIALS, tune_gbt
+from tessera.operators.tree_shapley import of_spark_tree, shapley_trees
+from tessera.operators.tuning import N_TRIALS, PARAMS, refit_best, tune_gbt
 from tessera.plans.common import rounded, table
 from tessera.session import cut_lineage
 
@@ -20,8 +21,9 @@ QUERY_SHARE = 0.2
 K_VOTE = 7
 K_SMOTE = 5
 N_DIM = 64
-TUNE_PARALLEL = 4     # fits at a time
 N_PERM = 8
+REFIT_TRIALS = 16
+REFIT_BATCH = 8
 LOCAL_ROWS = 3
 SURROGATE_SAMPLES = 1000
 
@@ -117,7 +119,23 @@ def q_model_compare(spark, sf):
 
 def q_tune_gbt(spark, sf):
     tr, va = _train_val(spark, sf)
-    return rounded(tune_gbt(tr, va, "y", n_trials=N_TRIALS, parallelism=TUNE_PARALLEL))
+    return rounded(tune_gbt(tr, va, N_DIM, "y", n_trials=N_TRIALS).drop("uniforms"))
+
+
+def q_tune_refit(spark, sf):
+    """The best of a few proposed trials, refitted and evaluated on all validation rows."""
+    tr, va = _train_val(spark, sf)
+    trials = tune_gbt(tr, va, N_DIM, "y", n_trials=REFIT_TRIALS, batch=REFIT_BATCH)
+    forest = refit_best(tr, trials, N_DIM, "y")
+    scored = cut_lineage(forest.transform(va).select("y", "prediction", "score"))
+    out = MM.evaluate(scored, "y", "prediction", "score")
+    return rounded(out.withColumns({p: F.lit(forest.params[p]) for p in PARAMS}))
+
+
+def q_shapley_trees(spark, sf):
+    tr, va = _train_val(spark, sf)
+    fit = fitted(spark, sf, "tree")
+    return rounded(shapley_trees(of_spark_tree(fit.model, N_DIM), va, "vec_id", "embedding"))
 
 
 def q_shapley_sampled(spark, sf):
@@ -153,6 +171,8 @@ QUERIES = {
     "fit_svm_rff": q_fit_svm_rff,
     "model_compare": q_model_compare,
     "tune_gbt": q_tune_gbt,
+    "tune_refit": q_tune_refit,
+    "shapley_trees": q_shapley_trees,
     "shapley_sampled": q_shapley_sampled,
     "local_surrogate": q_local_surrogate,
 }

@@ -1,5 +1,4 @@
 """kNN exactness and pruning, SMOTE invariants, Shapley additivity, model fits."""
-from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,17 +115,7 @@ def test_shapley_linear_local_breakdown_adds_up(spark):
 
 
 def test_tuning_query_fits_every_trial(spark, monkeypatch):
-    fits = []
-
-    def fit(train, label, features, **params):
-        fits.append(params)
-        return SimpleNamespace(fit_seconds=0.0)
-
-    class Found:
-        def first(self):
-            return dict.fromkeys(tuning.TRIAL_METRICS, 0.5)
-
-    monkeypatch.setattr(tuning.MD, "fit_gbt", fit)
-    monkeypatch.setattr(tuning.MD, "evaluate_model", lambda model, val, label: Found())
+    monkeypatch.setattr(tuning, "TREES_CHOICES", [2, 3])
     trials = E.queries()["tune_gbt"](spark, SF_SMALL).collect()
-    assert sorted(r["trial"] for r in trials) == list(range(50)) and len(fits) == 50
+    assert len(trials) == 50 and len({r["trial"] for r in trials}) == 50
+    assert all(r["loss"] is not None and r["fit_seconds"] > 0 for r in trials)
