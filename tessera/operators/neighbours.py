@@ -1,20 +1,12 @@
 """Exact k-nearest neighbours without an all-pairs join, and the kNN vote.
 
-Pivot cells with triangle-inequality pruning:
-
-1. ``P`` pivots are drawn from the reference side by hash order (a fitted
-   parameter of ``P x d`` numbers; ``P`` grows with n, capped).
-2. Every reference row goes to its nearest pivot's cell; per cell the row
-   count and the radius (largest distance to the pivot) form a small table.
-3. Each query row computes its ``P`` pivot distances.  Taking its cells in
-   order of distance until they hold ``k`` rows gives an exact upper bound
-   ``tau`` of its k-th neighbour distance: every row of such a cell is within
-   ``d(q, pivot) + radius``.  Any row within ``tau`` lies in a cell with
-   ``d(q, pivot) - radius <= tau`` - only those cells are joined (equi-join on
-   the cell id), so the pair count is the pruned candidate set, not Q x R.
-4. Each (query, candidate cell) pair is processed in bounded blocks (cell,
-   query chunk, ref chunk) by ``cogroup().applyInPandas``: one numpy distance
-   matrix per block, only the k best per query leave it.  Then
+1. ``metric_tree.build`` splits the references into cells below pivots of pivots, with a radius and a count at
+   each node; its size is bounded in bytes, and so is what is broadcast.
+2. Queries go down the tree to their own leaf and are dealt into blocks of near queries.  Each block descends
+   the tree once, with an upper bound of every query's k-th distance, and names the cells that can hold a
+   neighbour: rows are (block, cell), never (query, pivot).
+3. Blocks of at most about ``QUERY_BLOCK`` queries and ``REF_BLOCK`` references meet in
+   ``cogroup().applyInPandas``: one numpy distance matrix, only the k best per query leave it.  Then
    ``row_number() <= k`` per query keeps the global k nearest; Spark plans this
    as a window group limit, taking partial top-k before the shuffle.
 
@@ -26,7 +18,7 @@ Distances are squared Euclidean on doubles, rounded to 9 digits for ordering;
 ties go to the smaller id.  They are computed by Arrow-batched numpy UDFs
 (higher-order SQL lambdas run without code generation and were ~20x slower);
 the per-pair sum keeps the sequential order of the SQL form, so both give the
-same doubles.  The pivot bounds use a tiny relative slack so
+same doubles.  The tree's bounds use a tiny relative slack so
 that rounding in the bound can never drop a true neighbour.
 """
 
@@ -39,11 +31,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.sampling import hash_rank
+from tessera.operators import metric_tree
+from tessera.session import cut_lineage
 
 DIST_DIGITS = 9
-SLACK = 1e-9
-MAX_PIVOTS = 1024
 
 
 def sq_dist(a, b) -> Column:
@@ -70,32 +61,6 @@ def _sq_dist_batch(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(acc)
 
 
-def pivot_distance_udf(pivots: list[list[float]]):
-    """Distances of each vector to every pivot (array<double>), numpy per Arrow batch."""
-    piv = np.asarray(pivots, dtype=np.float64)
-
-    @F.pandas_udf("array<double>")
-    def dists(v: pd.Series) -> pd.Series:
-        if len(v) == 0:
-            return pd.Series([], dtype=object)
-        x = _matrix(v)
-        out = np.empty((x.shape[0], piv.shape[0]))
-        for i in range(piv.shape[0]):
-            d = x - piv[i]
-            out[:, i] = np.sqrt(np.einsum("ij,ij->i", d, d))
-        return pd.Series(list(out))
-    return dists
-
-
-def _pivots(ref: DataFrame, id_col: str, vec_col: str, n_pivots: int | None) -> list[list[float]]:
-    if n_pivots is None:  # cells of about a quarter block: pruning where data cluster, full blocks otherwise
-        n = ref.count()
-        n_pivots = max(1, min(MAX_PIVOTS, math.ceil(n / (REF_BLOCK // 4))))
-    rows = hash_rank(ref.select(id_col, vec_col), id_col, name="__rn", tag="pivot") \
-        .where(F.col("__rn") <= n_pivots)
-    return [[float(x) for x in r[vec_col]] for r in rows.orderBy(id_col).collect()]
-
-
 QUERY_BLOCK = 1024
 REF_BLOCK = 4096
 
@@ -143,55 +108,38 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
     are searched within the same ``by`` group.  With ``exclude_self`` a ref row
     whose id equals the query id is skipped (self-neighbourhood of one table).
 
-    Candidate cells come from the pivot bounds; each (query, candidate cell)
-    is then processed in bounded blocks - (cell, query chunk, ref chunk)
-    groups of at most ``QUERY_BLOCK`` queries and ``REF_BLOCK`` references -
-    whose distance matrix stays inside one numpy call and yields only k rows
-    per query.  Pairs are never materialised as rows.
+    ``n_pivots`` sets the number of cells aimed at (None: cells of ``metric_tree.CELL`` rows, more where
+    the tree would outgrow its bound).  Ids of ``query`` are unique; null vectors aren't allowed.
     """
     by = by or []
     k_eff = k + (1 if exclude_self else 0)
+    spark = ref.sparkSession
+    group = F.to_json(F.struct(*[F.col(c) for c in by])) if by else F.lit("")
     # fresh attribute ids: query and ref may be the same table (self-neighbourhood)
-    query = query.select(*[F.col(c).alias(c) for c in query.columns])
-    ref = ref.select(*[F.col(c).alias(c) for c in ref.columns])
-    pivots = _pivots(ref, rid, vec, n_pivots)
-    pivot_dists = pivot_distance_udf(pivots)
-
-    rc = ref.select(*by, rid, vec, pivot_dists(F.col(vec)).alias("__pd"))
-    rc = rc.select(*by, rid, vec,
-                   (F.array_position("__pd", F.array_min("__pd")) - 1).cast("int").alias("__cell"),
-                   F.array_min("__pd").alias("__dcell"))
-    cells = rc.groupBy(*by, "__cell").agg(F.count(F.lit(1)).alias("__n"), F.max("__dcell").alias("__radius"))
-
-    qx = query.select(*by, F.col(qid).alias("__qid"), F.posexplode(pivot_dists(F.col(vec))).alias("__cell", "__dq"))
-    qx = qx.join(cells, on=by + ["__cell"])  # cells: groups x P rows
-    wq = Window.partitionBy("__qid").orderBy("__dq", "__cell")  # P rows per query
-    before = F.coalesce(F.sum("__n").over(wq.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    qx = qx.withColumn("__needed", before < F.lit(k_eff))
-    tau = F.max(F.when(F.col("__needed"), F.col("__dq") + F.col("__radius"))).over(Window.partitionBy("__qid"))
-    qx = qx.withColumn("__tau", tau)
-    cand = qx.where(F.col("__dq") - F.col("__radius") <= F.col("__tau") * (1 + SLACK) + SLACK) \
-             .select(*by, "__qid", "__cell")
-
-    # block counts per cell: ceil(queries / QUERY_BLOCK) x ceil(refs / REF_BLOCK)
-    nq = cand.groupBy(*by, "__cell").agg(F.count(F.lit(1)).alias("__nq"))
-    blocks = (nq.join(cells, on=by + ["__cell"])
-              .select(*by, "__cell",
-                      F.ceil(F.col("__nq") / QUERY_BLOCK).cast("int").alias("__cq"),
-                      F.ceil(F.col("__n") / REF_BLOCK).cast("int").alias("__cr")))
-    qv = query.select(F.col(qid).alias("__qid"), F.col(vec).alias("__qvec"))
-    qside = (cand.join(blocks, on=by + ["__cell"]).join(qv, on="__qid")
-             .withColumn("__qc", F.pmod(F.xxhash64("__qid"), F.col("__cq")).cast("int"))
-             .withColumn("__rc", F.explode(F.sequence(F.lit(0), F.col("__cr") - 1)))
-             .select(*by, "__cell", "__qc", "__rc", "__qid", "__qvec"))
-    rside = (rc.join(blocks, on=by + ["__cell"])
-             .withColumn("__rc", F.pmod(F.xxhash64(rid), F.col("__cr")).cast("int"))
-             .withColumn("__qc", F.explode(F.sequence(F.lit(0), F.col("__cq") - 1)))
-             .select(*by, "__cell", "__qc", "__rc", rid, F.col(vec).alias("__rvec")))
-    key = [*by, "__cell", "__qc", "__rc"]
+    query = query.select(*[F.col(c).alias(c) for c in by], F.col(qid).alias("__qid"), F.col(vec).alias("__qvec"), group.alias("__g"))
+    ref = ref.select(*[F.col(c).alias(c) for c in by], F.col(rid).alias(rid), F.col(vec).alias("__rvec"), group.alias("__g"))
+    cell = math.ceil(ref.count() / n_pivots) if n_pivots else None
+    tree = spark.sparkContext.broadcast(metric_tree.build(ref, rid, "__rvec", "__g", cell))
+
+    refs = metric_tree.located(ref, tree, "__rvec", "__g").withColumnRenamed("__leaf", "__cell")
+    cells = refs.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / REF_BLOCK).cast("int").alias("__cr"))
+    # queries of one leaf are near each other; a full leaf is dealt into several blocks
+    near = metric_tree.located(query, tree, "__qvec", "__g").where(F.col("__leaf") >= 0)
+    full = near.groupBy("__leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("__cq"))
+    near = near.join(full, "__leaf").withColumn("__qc", F.pmod(F.xxhash64("__qid"), F.col("__cq")).cast("int"))
+    near = near.select(*by, "__qid", "__qvec", "__g", F.col("__leaf").alias("__home"), "__qc")
+    needs = near.groupBy("__home", "__qc").applyInPandas(
+        metric_tree.candidate_rows(tree, k_eff, ["__home", "__qc"]), "__home long, __qc int, __leaf long")
+    needs = cut_lineage(needs.withColumnRenamed("__leaf", "__cell").join(cells, on="__cell")
+                        .withColumn("__rc", F.explode(F.sequence(F.lit(0), F.col("__cr") - 1))))
+    qside = near.join(needs, on=["__home", "__qc"]).select(*by, "__cell", "__rc", "__home", "__qc", "__qid", "__qvec")
+    rside = (refs.join(cells, on="__cell").withColumn("__rc", F.pmod(F.xxhash64(rid), F.col("__cr")).cast("int"))
+             .join(needs.drop("__cr"), on=["__cell", "__rc"])
+             .select(*by, "__cell", "__rc", "__home", "__qc", rid, "__rvec"))
+    key = ["__cell", "__rc", "__home", "__qc"]
     schema_by = ", ".join(f"`{c}` {query.schema[c].dataType.simpleString()}" for c in by)
     schema = ((schema_by + ", ") if by else "") + (
-        f"`{qid}` {query.schema[qid].dataType.simpleString()}, "
+        f"`{qid}` {query.schema['__qid'].dataType.simpleString()}, "
         f"`{rid}` {ref.schema[rid].dataType.simpleString()}, sq_dist double")
     part = (qside.groupBy(*key).cogroup(rside.groupBy(*key))
             .applyInPandas(_block_top_k(k, exclude_self, by, qid, rid), schema))
