@@ -9,12 +9,17 @@ converges fast and without cancellation:
 
 The plain alternating series is wrong for tiny lam (it does not reach 1), so
 the second (Jacobi theta) form is required there.
+
+``ks_pvalue_exact`` counts lattice paths instead: under the null every order of the n + m values is equally
+likely, an order is a path from (0, 0) to (n, m), and D stays below d if the path stays in a band.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,3 +51,38 @@ def ks_pvalue(d, n, m) -> Column:
          .when(lam >= SWITCH, F.lit(2.0) * alt)
          .otherwise(F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * theta))
     return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
+
+
+EXACT_SIZE = 10_000
+
+
+def path_share(d: float, n: int, m: int) -> float:
+    """The share of all paths from (0, 0) to (n, m) that touch |i / n - j / m| >= d, by their steps i + j.
+
+    ``inside[i]`` is the share of the paths to (i, step - i) that have stayed below d: such a path came by i
+    with probability i / step, or by j.
+    """
+    n, m = min(n, m), max(n, m)
+    far = round(d * n * m)  # |i m - j n| is an integer
+    if far <= 0:
+        return 1.0
+    inside = np.zeros(n + 2)  # one place in front, always 0
+    inside[1] = 1.0
+    for step in range(1, n + m + 1):
+        # i m - (step - i) n lies within (-far, far)
+        low = max(0, step - m, (step * n - far) // (n + m) + 1)
+        high = min(n, step, -((-step * n - far) // (n + m)) - 1)
+        i = np.arange(low, high + 1)
+        made = inside[i] * (i / step) + inside[i + 1] * ((step - i) / step)
+        inside[:] = 0.0
+        inside[i + 1] = made
+    return float(min(1.0, max(0.0, 1.0 - inside[n + 1])))
+
+
+def ks_pvalue_exact(d, n, m) -> Column:
+    """P(D >= d) of samples of n and m values, exactly; null where a sample is empty or holds over EXACT_SIZE values."""
+    def shares(ds: pd.Series, ns: pd.Series, ms: pd.Series) -> pd.Series:
+        return pd.Series([path_share(a, int(b), int(c)) if pd.notna(a) and 0 < b <= EXACT_SIZE and 0 < c <= EXACT_SIZE else None
+                          for a, b, c in zip(ds, ns, ms, strict=True)], dtype="float64")
+
+    return F.pandas_udf(shares, "double")(*[F.col(x) if isinstance(x, str) else x for x in (d, n, m)])

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.numeric import lenient_double
+from tessera.operators.lookup import lookup
+from tessera.operators.prefix import row_number
+from tessera.session import cut_lineage
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -140,7 +143,7 @@ MAX_LEVELS = 1000
 def fit_one_hot(df: DataFrame, column: str, prefix: str | None = None,
                 max_levels: int = MAX_LEVELS) -> OneHotModel:
     """Levels = sorted distinct non-null values (a distinct aggregate).  Only
-    ``max_levels + 1`` levels are ever fetched: more is an error, not a silent cut."""
+    ``max_levels + 1`` levels are ever fetched: more don't fit in columns (see ``one_hot_sparse``)."""
     levels = [r[0] for r in df.select(column).where(F.col(column).isNotNull())
               .distinct().limit(max_levels + 1).collect()]
     if len(levels) > max_levels:
@@ -148,5 +151,34 @@ def fit_one_hot(df: DataFrame, column: str, prefix: str | None = None,
     return OneHotModel(column, prefix or column, sorted(levels))
 
 
-def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop: bool = True) -> DataFrame:
-    return fit_one_hot(df, column, prefix).transform(df, drop)
+def level_table(df: DataFrame, column: str) -> DataFrame:
+    """(column, index): the distinct non-null values, numbered from 0 in their order; it stays in Spark."""
+    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return row_number(levels, [], [column], name="index").withColumn("index", F.col("index") - 1)
+
+
+def one_hot_sparse(df: DataFrame, column: str, levels: DataFrame | None = None, out: str | None = None, drop: bool = True) -> DataFrame:
+    """``df`` with one sparse vector column: a 1 at the level's index; null or unseen -> all zeros.
+
+    Any number of levels: the level table (``level_table``, or the one given) is joined, with frequent levels
+    by a bounded broadcast, and only its size reaches the driver.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+
+    out = out or f"{column}_vector"
+    levels = cut_lineage(level_table(df, column) if levels is None else levels)
+    size = levels.count()
+    named = levels.select(F.col(column).alias("__level"), F.col("index").alias("__index"))
+    found = lookup(df.withColumn("__level", F.col(column)), named, "__level", df.count(), "left")
+    found = found.withColumn("__index", F.coalesce("__index", F.lit(size)).cast("double"))  # beyond the last level: zeros
+    top = df.sparkSession.createDataFrame([(float(max(size, 1) - 1),)], "__index double")
+    encoder = OneHotEncoder(inputCols=["__index"], outputCols=[out], handleInvalid="keep", dropLast=True).fit(top)
+    made = encoder.transform(found).drop("__level", "__index")
+    return made.drop(column) if drop else made
+
+
+def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop: bool = True, max_levels: int = MAX_LEVELS) -> DataFrame:
+    """One column a level (``prefix_level``); above ``max_levels`` levels one sparse vector column, ``prefix_vector``."""
+    if df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_levels + 1).count() > max_levels:
+        return one_hot_sparse(df, column, out=f"{prefix or column}_vector", drop=drop)
+    return fit_one_hot(df, column, prefix, max_levels).transform(df, drop)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.kolmogorov import ks_pvalue
+from tessera.functions.kolmogorov import ks_pvalue, ks_pvalue_exact
 from tessera.operators import prefix
 from tessera.operators.metrics import binary_metrics_from_counts, confusion_counts
 
@@ -35,19 +35,22 @@ def value_counts(long: DataFrame, feature_col: str = "feature", value_col: str =
 
 def ks_drift(reference: DataFrame, batches: DataFrame, alpha: float = 0.05,
              feature_col: str = "feature", value_col: str = "value",
-             batch_col: str = "batch", buckets: int | None = None) -> DataFrame:
+             batch_col: str = "batch", buckets: int | None = None, exact: bool = False) -> DataFrame:
     """Per (batch, feature): n_ref, n_batch, statistic D, p_value, drifted (p < alpha).
 
+    The p-value is that of the limit distribution; with ``exact`` that of the samples' sizes, where
+    both hold ``kolmogorov.EXACT_SIZE`` values at most.
+
     Only features present on both sides are tested; nulls and NaN are dropped.  ``reference`` may
-    hold values or their counts (``value_counts``).
+    hold values or their counts (``value_counts``), and so may ``batches`` (a column ``c_bat``).
     """
     def clean(df):
         v = F.col(value_col)
         return df.where(v.isNotNull() & ~F.isnan(v))
 
     ref = reference if "c_ref" in reference.columns else value_counts(clean(reference), feature_col, value_col)
-    bat = (clean(batches).groupBy(batch_col, feature_col, value_col)
-           .agg(F.count(F.lit(1)).alias("c_bat")))
+    bat = clean(batches).groupBy(batch_col, feature_col, value_col).agg(
+        (F.sum("c_bat") if "c_bat" in batches.columns else F.count(F.lit(1))).alias("c_bat"))
     # the reference counts are compared with every batch that has the feature
     batch_feats = bat.select(batch_col, feature_col).distinct()
     ref_per_batch = (ref.join(batch_feats, on=feature_col)
@@ -67,6 +70,8 @@ def ks_drift(reference: DataFrame, batches: DataFrame, alpha: float = 0.05,
                      F.col("cum_bat_total").cast("long").alias("n_batch"))
             .agg(F.max(gap).alias("statistic")))
     p = ks_pvalue(F.col("statistic"), F.col("n_ref"), F.col("n_batch"))
+    if exact:
+        p = F.coalesce(ks_pvalue_exact("statistic", "n_ref", "n_batch"), p)
     return (stat.withColumn("p_value", p)
             .withColumn("drifted", F.col("p_value") < F.lit(alpha)))
 

@@ -3,7 +3,9 @@
 * runs are long tables ``params(run_id, key, value)`` and
   ``metrics(run_id, key, value)``, appended per run;
 * model stages are an append-only event table
-  ``(model, version, stage, seq...)``; the current state is derived.
+  ``(model, version, stage, seq...)``; the current state is derived;
+* registrations are data folders named by numbered commit files, each created only if
+  absent: writers at one time get different versions.
 
 "Best" and "latest" are grouped max-by aggregates (partial aggregation per
 partition), never a sort of the whole log; numbering uses the range-cut
@@ -13,7 +15,11 @@ orderable type, text included.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import prefix
@@ -141,3 +147,69 @@ def promote_latest(events: DataFrame, model: str, version: str, stage: str, seq:
     new = steps.select(model, version, F.col("__e.s").alias(stage),
                        (F.col("__last") + F.col("__e.o")).alias(seq))
     return events.select(model, version, stage, seq).unionByName(new)
+
+
+def _create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with ``text`` unless it exists; of several writers only one succeeds."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.getParent())
+    if fs.getUri().getScheme() == "file":  # its create isn't exclusive: a hard link is
+        target = hadoop.toUri().getPath()
+        part = f"{os.path.dirname(target)}/.{uuid.uuid4().hex}"
+        with open(part, "w") as out:
+            out.write(text)
+        try:
+            os.link(part, target)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(part)
+    try:
+        out = fs.create(hadoop, False)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def commits(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, data folder) of the commits below ``path``, in order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits")
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return []
+    rows = spark.read.text(f"{path}/commits", wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value").collect()  # one a commit
+    return sorted((int(r["name"]), r["value"]) for r in rows if r["name"].isdigit())
+
+
+def register(path: str, rows: DataFrame, model: str) -> DataFrame:
+    """Add the registrations ``rows`` (one a new model version) to the table at ``path``; they with their versions.
+
+    The rows are written first, then a commit file with the next number is created only if it is absent;
+    a writer that finds the number taken tries the next one.  Versions follow from the commits' order, so two
+    writers never get one version, and rows whose writer failed before its commit don't exist.
+    """
+    spark = rows.sparkSession
+    folder = uuid.uuid4().hex
+    rows.write.parquet(f"{path}/data/{folder}")
+    number = (commits(spark, path) or [(0, "")])[-1][0] + 1
+    while not _create_if_absent(spark, f"{path}/commits/{number:010d}", folder):
+        number += 1
+    return registrations(spark, path, model).filter(F.col("commit") == number)
+
+
+def registrations(spark: SparkSession, path: str, model: str) -> DataFrame:
+    """All committed registrations with ``commit`` and ``version`` (1, 2, ... per model by commit)."""
+    held = commits(spark, path)
+    if not held:
+        raise FileNotFoundError(f"no registration was committed below {path}")
+    numbers = spark.createDataFrame([(n, f) for n, f in held], "commit long, __folder string")
+    rows = spark.read.parquet(*[f"{path}/data/{f}" for _, f in held]).withColumn("__folder", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    rows = rows.join(F.broadcast(numbers), "__folder").drop("__folder")  # one row a commit
+    rest = F.sha2(F.to_json(F.struct(*[c for c in rows.columns])), 256)  # several rows of one commit: by content
+    return version_numbers(rows.withColumn("__rest", rest), model, ["commit", "__rest"]).drop("__rest")

@@ -8,6 +8,10 @@
   with a watermark for late rows, in append mode (a window is emitted once,
   after the watermark passes its end).  Event time must be TIMESTAMP (LTZ);
   TIMESTAMP_NTZ is cast first.
+* ``window_counts`` - drift with state across micro-batches: counts by (event-time window, feature, value) live in
+  the state store, merge with every micro-batch, and expire when the watermark passes their window.
+* ``run_to_upserts`` / ``latest`` - a sink of updates: each micro-batch writes the rows that it changed to its own
+  folder, and reading takes each key's last one.  Windows still open when the input ends are there too.
 * ``with_open_windows`` - the windows still open when a stream of given events
   has ended, by a final batch pass.
 """
@@ -94,3 +98,29 @@ def with_open_windows(emitted: DataFrame, events: DataFrame, ts: str, label, pre
     lacks as the watermark never passed their end."""
     found = window_rows(event_time(events, ts).where(F.col(ts).isNotNull()), ts, label, pred, window)
     return emitted.unionByName(found.join(emitted.select("window_start"), on="window_start", how="left_anti"))
+
+
+def window_counts(stream: DataFrame, features: list[str], ts: str, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
+    """Streaming (batch, feature, value, c_bat): value counts by event-time window (``batch`` is its start)."""
+    timed = event_time(stream, ts).withWatermark(ts, delay).withColumn("__w", F.window(ts, window))
+    long = drift.to_long(timed, features, ["__w"])
+    counted = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("__w", "feature", "value").agg(F.count(F.lit(1)).alias("c_bat"))
+    return counted.select(F.date_format("__w.start", "yyyy-MM-dd HH:mm:ss").alias("batch"), "feature", "value", "c_bat")
+
+
+def run_to_upserts(updates: DataFrame, sink: str, checkpoint: str) -> None:
+    """Run a streaming aggregate to the end of its input; every micro-batch overwrites its own folder of changed rows."""
+    def per_batch(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={int(batch_id)}"))
+
+    q = (updates.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def latest(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
+    """The last row of each key in a sink of updates."""
+    rows = spark.read.parquet(sink)
+    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id").cast("long")).alias("__last"))
+    return last.select(*keys, "__last.*")
