@@ -1,11 +1,12 @@
 """Document fingerprints by winnowing, in DataFrame operations only.
 
-``fingerprints``: a text's words are hashed, every ``K`` neighbouring words give a k-gram hash
-that slides along the text, and every window of ``W`` neighbouring k-grams keeps its minimum,
+``fingerprints``: a text's tokens are its words, and of unbroken runs of over ``LONG`` characters (a script
+without blanks, one long string) every single character.  Tokens are hashed, every ``K`` neighbours give a k-gram
+hash that slides along the text, and every window of ``W`` neighbouring k-grams keeps its minimum,
 the rightmost one of equals.  A kept k-gram is one long: the hash's upper 40 bits and, below,
 the position counted down (so that the least value is the rightmost minimum; positions run
-modulo 2**24 words).  Guarantee: two texts that share ``K + W - 1`` neighbouring words share a
-k-gram; a text with fewer k-grams than ``W`` is one window, one with fewer words than ``K`` is
+modulo 2**24 tokens).  Guarantee: two texts that share ``K + W - 1`` neighbouring tokens share a
+k-gram; a text with fewer k-grams than ``W`` is one window, one with fewer tokens than ``K`` is
 one k-gram.
 
 ``with_next`` gives each row its successor by key (after the last: the first) without a global
@@ -29,6 +30,7 @@ SPACE = " \t\n\x0b\x0c\r"
 ROWS_PER_BLOCK = 1024
 MAX_BLOCKS = 4096
 FAN = 64
+LONG = 16
 POSITIONS = 1 << 24
 
 
@@ -38,7 +40,10 @@ def fingerprints(df: DataFrame, text: str, out: str, k: int = K, w: int = W) ->
     names = [c for c in df.columns if c != out]
     bare = F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(SPACE))
     words = F.when(F.length(bare) > 0, F.split(bare, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
-    df = df.select(*names, F.transform(words, lambda x: F.xxhash64(x)).alias("__h"))
+    parts = F.flatten(F.transform(words, lambda x: F.when(F.length(x) > LONG, F.split(x, "")).otherwise(F.array(x))))
+    # only texts with such a run pay for taking it apart
+    found = F.when(F.col(text).rlike(rf"[^\x20\x09-\x0D]{{{LONG + 1}}}"), parts).otherwise(words)
+    df = df.select(*names, F.transform(found, lambda x: F.xxhash64(x)).alias("__h"))
     h = F.col("__h")
     grams = F.transform(h, lambda x, i: F.call_function(
         "shiftleft", F.call_function("shiftright", F.xxhash64(x, *[F.get(h, i + j) for j in range(1, k)]), F.lit(24)), F.lit(24))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import xxhash
 
@@ -7,8 +8,13 @@ from tessera.llm import winnow
 K, W = winnow.K, winnow.W
 
 
+def tokens(text):
+    """Words; of runs of over 16 characters every character."""
+    return [t for w in (text or "").encode().split() for t in ([c.encode() for c in w.decode()] if len(w.decode()) > 16 else [w])]
+
+
 def kept(text):
-    words = [xxhash.xxh64_intdigest(w, seed=42) for w in (text or "").encode().split()]
+    words = [xxhash.xxh64_intdigest(w, seed=42) for w in tokens(text)]
     grams = []
     for i in range(max(len(words) - K + 1, min(1, len(words)))):
         seed = 42
@@ -53,5 +59,13 @@ def test_shared_passages_share_a_gram(spark):
     assert one & two
 
 
+def test_texts_without_blanks_have_fingerprints_along_them(spark):
+    rng = random.Random(4)
+    text = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(2_000))
+    other = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(2_000)) + "𝄞" * 30
+    rows = {r.key: r for r in winnow.edited(spark.createDataFrame([(1, text), (2, other)], "doc_id long, text string")).collect()}
+    assert rows[1].near_edited > 0.3 and rows[1].near_next == 0 and len(rows[1].kept) > 300
+
+
 def test_empty_table(none):
     assert winnow.edited(none).collect() == []
