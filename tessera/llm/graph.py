@@ -1,35 +1,13 @@
-"""Connected components of links between many rows, and joins that frequent keys can't slow down."""
+"""Connected components of links between many rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.lookup import lookup
 from tessera.session import cut_lineage
 
-FREQUENT_KEYS = 1_000
-FEW_ROWS = 1_000
-
-
-def lookup(df: DataFrame, table: DataFrame, key: str, rows: int, how: str = "inner") -> DataFrame:
-    """``df`` joined to ``table`` (one row a key) by ``key``.
-
-    Keys that hold more than 1 / FREQUENT_KEYS of the ``rows`` of ``df`` (and more than FEW_ROWS) get their
-    values by broadcast: there are fewer than FREQUENT_KEYS of them, whatever the data.  All
-    other rows are shuffled, and no key of theirs is large.  ``df`` and ``table`` are read twice.
-    """
-    limit = max(FEW_ROWS, rows // FREQUENT_KEYS)
-    often = df.groupBy(key).agg(F.count("*").alias("__n")).filter((F.col("__n") > limit) & F.col(key).isNotNull()).select(key)
-    often = cut_lineage(often)
-    if not often.take(1):
-        return df.join(table, key, how)
-    held = often.join(table, key)  # below FREQUENT_KEYS rows
-    if how == "left":
-        held = often.join(table, key, "left")
-    frequent = df.join(F.broadcast(held), key)
-    others = df.join(F.broadcast(often), key, "left_anti").join(table, key, how)
-    return frequent.unionByName(others)
-
 
 def components(edges: DataFrame, a: str = "ck", b: str = "other", root: str = "root") -> DataFrame:
     """a, root: each end of ``edges`` (a, b) with the least end that it is connected to.

@@ -10,7 +10,10 @@
    grams that at least two members have).  A pair counts in the first band that it shares only.
    It returns each class's number of links, and the links themselves (``links``) or edges that
    span the linked groups (``grouped``).
-4. ``components`` contracts those edges by alternating large and small stars.
+4. ``graph.components`` contracts those edges by alternating large and small stars.
+
+Keys that many rows share (a bucket of near copies, the class of many exact ones, a large group) get their
+values by ``lookup``, so no join brings their rows together.
 
 Defined results: texts without a word (null, empty, blank) have no grams and no links, and each
 such document is a class and a group of its own; repeated rows are copies; an empty table gives
@@ -29,7 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import give_back, short_batches, small, then_give_back
+from tessera.llm.graph import components
 from tessera.llm.rolling import Ranges, mixed
+from tessera.operators.lookup import lookup
 from tessera.session import cut_lineage
 
 N = 5
@@ -109,19 +114,21 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
 
 def buckets(classes: DataFrame, bands: int) -> DataFrame:
     """band, hash, ck, bands, tiles of the members of the buckets that hold pairs of their own."""
-    every = classes.select("ck", F.posexplode("bands").alias("band", "hash"))
-    full = every.groupBy("band", "hash").agg(F.count("*").alias("members")).filter("members > 1")
-    held = every.join(full, ["band", "hash"]).join(classes.select("ck", "bands"), "ck")
-    held = cut_lineage(held)
+    every = classes.select("ck", F.posexplode("bands").alias("band", "hash")).select("ck", F.struct("band", "hash").alias("bucket"))
+    full = cut_lineage(every.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"))
+    count = classes.count() * bands
+    held = lookup(every, full, "bucket", count)
+    held = cut_lineage(held.join(classes.select("ck", "bands"), "ck"))
     # a bucket whose members all agree in an earlier band has no pair of its own
     same = F.lit(False)
     for u in range(bands):
-        same = same | ((F.col("band") > u) & (F.col(f"lo{u}") == F.col(f"hi{u}")))
-    idle = held.groupBy("band", "hash").agg(*[F.min(F.get("bands", F.lit(u))).alias(f"lo{u}") for u in range(bands)],
-                                            *[F.max(F.get("bands", F.lit(u))).alias(f"hi{u}") for u in range(bands)])
-    idle = idle.filter(same).select("band", "hash")
-    return (held.join(idle, ["band", "hash"], "left_anti")
-            .withColumn("tiles", F.ceil(F.col("members") / TILE).cast("int")).drop("members"))
+        same = same | ((F.col("bucket.band") > u) & (F.col(f"lo{u}") == F.col(f"hi{u}")))
+    idle = held.groupBy("bucket").agg(*[F.min(F.get("bands", F.lit(u))).alias(f"lo{u}") for u in range(bands)],
+                                      *[F.max(F.get("bands", F.lit(u))).alias(f"hi{u}") for u in range(bands)])
+    idle = cut_lineage(idle.filter(same).select("bucket", F.lit(True).alias("idle")))
+    left = lookup(held, idle, "bucket", count, "left").filter("idle is null")
+    return left.select(F.col("bucket.band").alias("band"), F.col("bucket.hash").alias("hash"), "ck", "bands",
+                       F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
 
 
 def _shared(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -223,27 +230,6 @@ def tiles(docs: DataFrame, rows: DataFrame, key: str = "doc_id", text: str = "te
     return classes.select("ck", "rep"), cut_lineage(result)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """ck, root: each end of ``edges`` (ck, other) with the least class that it is connected to."""
-    now = cut_lineage(edges.select(F.greatest("ck", "other").alias("u"), F.least("ck", "other").alias("v")).filter("u != v").distinct())
-    check = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    state = check(now)
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        # large star: larger neighbours go to the least one
-        large = both.join(least, both["u"] == least["x"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        # small star: a node and its smaller neighbours go to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x")
-        near = large.join(least, large["u"] == least["x"])
-        small_star = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
-        now = cut_lineage(small_star.filter("u != v").distinct())
-        after = check(now)
-        if after == state:
-            return now.select(F.col("u").alias("ck"), F.col("v").alias("root"))
-        state = after
-
-
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD) -> DataFrame:
     """a, b: the representatives (least keys) of every two different texts at the threshold."""
     rows = cut_lineage(signatures(docs, key, text, n, threshold))
@@ -259,11 +245,12 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N
     classes, found = tiles(docs, rows, key, text, n, threshold)
     counts = found.filter("other is null").groupBy("ck").agg(F.sum("n").alias("n_links"))
     roots = components(found.filter("other is not null"))
-    joined = classes.join(counts, "ck", "left").join(roots, "ck", "left").withColumn("root", F.coalesce("root", "ck"))
+    joined = cut_lineage(classes.join(counts, "ck", "left").join(roots, "ck", "left").withColumn("root", F.coalesce("root", "ck")))
+    total = rows.count()
     least = joined.groupBy("root").agg(F.min("rep").alias("group_id"))
-    joined = joined.join(least, "root").select("ck", F.col("rep").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "group_id")
+    joined = lookup(joined, least, "root", total).select("ck", F.col("rep").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "group_id")
     own = F.col("ck").isNull()
-    return rows.select("key", "ck").join(joined, "ck", "left").select(
+    return lookup(rows.select("key", "ck"), cut_lineage(joined), "ck", total, "left").select(
         "key", "ck", F.when(own, F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.when(own, F.col("key")).otherwise(F.col("group_id")).alias("group_id"))
 

@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import short_batches, small, then_give_back
-from tessera.llm.graph import components, lookup
+from tessera.llm.graph import components
+from tessera.operators.lookup import lookup
 from tessera.session import cut_lineage
 
 SHINGLE = 3
@@ -83,7 +84,8 @@ def links(classes: DataFrame) -> DataFrame:
     """ck, other: links that span the near-duplicate groups of ``classes`` (fingerprint, all different)."""
     own = F.col("fingerprint")
     ball = [own] + [own.bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for low, high in SEGMENTS for b in range(low, high)]
-    entries = classes.select(own, F.explode(F.array(*ball)).alias("entry"))
+    tasks = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # 65 rows a class: not left to a few small partitions
+    entries = classes.select(own).repartition(tasks, own).select(own, F.explode(F.array(*ball)).alias("entry"))
     held = entries.groupBy("entry").agg(F.collect_set("fingerprint").alias("members")).filter(F.size("members") > 1)
     met = held.select(F.array_min("members").alias("other"), F.explode("members").alias("ck"))
     return met.filter((F.col("ck") != F.col("other")) & (F.bit_count(F.col("ck").bitwiseXOR(F.col("other"))) <= DISTANCE)).select("ck", "other")

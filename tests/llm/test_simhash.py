@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm import graph, simhash, simhash_queries
+from tessera.operators import lookup
 from tests.llm.conftest import SCHEMA, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,8 +102,8 @@ def test_a_crowd_of_near_copies_is_one_group(spark):
 
 
 def test_components_with_frequent_nodes(spark, monkeypatch):
-    monkeypatch.setattr(graph, "FEW_ROWS", 5)
-    monkeypatch.setattr(graph, "FREQUENT_KEYS", 8)
+    monkeypatch.setattr(lookup, "FEW_ROWS", 5)
+    monkeypatch.setattr(lookup, "FREQUENT_KEYS", 8)
     rng = random.Random(3)
     edges = [(7, 100 + i) for i in range(60)] + [(500, 100 + i) for i in range(0, 60, 7)] + [(900 + i, 901 + i) for i in range(40)]
     edges += [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(70)]
@@ -118,13 +119,5 @@ def test_components_with_frequent_nodes(spark, monkeypatch):
     assert got == {n: r for n, r in root.items() if n != r}
 
 
-def test_lookup_of_frequent_and_missing_keys(spark, monkeypatch):
-    monkeypatch.setattr(graph, "FEW_ROWS", 3)
-    rows = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7), (3, 8), (9, 9)] + [(4, i) for i in range(9)], "k long, x long")
-    table = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, y string")
-    for how in ("inner", "left"):
-        assert sorted(map(str, graph.lookup(rows, table, "k", 62, how).collect())) == sorted(map(str, rows.join(table, "k", how).collect()))
-
-
 def test_empty_table(none):
     assert simhash_queries.components(none).collect() == []
