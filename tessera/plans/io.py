@@ -13,7 +13,7 @@ from tessera.operators.sampling import stratified_split
 from tessera.plans import monitoring as MON
 from tessera.plans import statistics as ST
 from tessera.plans.common import rounded, table
-from tessera.sources.tables import read_csv_sources, read_split, to_json_report, write_splits
+from tessera.sources.tables import nested_report, read_csv_sources, read_report, read_split, to_json_report, write_report, write_splits
 from tessera.streaming.monitor import scratch_path
 
 CUSTOMER_CSV_SCHEMA = T.StructType([
@@ -47,13 +47,35 @@ def q_report_json(spark, sf):
     return rep.join(rounded(summ), on="batch")
 
 
+def q_json_sink(spark, sf):
+    """The nested drift report of every batch, written as JSON, read back and taken apart again."""
+    report = nested_report(rounded(MON._monitor_ks(spark, sf)), ["batch"], "feature", ["n_ref", "n_batch", "statistic", "p_value", "drifted"])
+    path = scratch_path(spark, "report-json")
+    write_report(report, path, "json")
+    back = read_report(spark, path, report.schema, "json")
+    return back.select("batch", F.explode("feature_results").alias("feature", "r")).select("batch", "feature", "r.*")
+
+
+def q_csv_sink(spark, sf):
+    """The monitoring table, written as CSV and read back with its schema."""
+    report = MON.q_monitor_batches(spark, sf)
+    path = scratch_path(spark, "report-csv")
+    write_report(report, path, "csv")
+    return read_report(spark, path, report.schema, "csv")
+
+
 QUERIES = {
+    "json_sink": q_json_sink,
+    "csv_sink": q_csv_sink,
     "csv_scan": q_csv_scan,
     "write_roundtrip": q_write_roundtrip,
     "report_json": q_report_json,
 }
 
 ORACLE = {
+    "json_sink": "WITH " + MON.EVENTS_CTE + "," + MON._LONG + MON.ks_sql("ref_long", "bat_long") + """
+SELECT batch, feature, n_ref, n_batch, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted FROM ks""",
+    "csv_sink": MON.ORACLE["monitor_batches"],
     "csv_scan": """SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer
         WHERE c_acctbal > 0""",
     "write_roundtrip": "WITH " + ST.SPLIT + "SELECT c_custkey, c_mktsegment, split FROM sp WHERE split = 'train'",

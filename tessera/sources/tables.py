@@ -94,7 +94,27 @@ def to_json_report(long_df: DataFrame, group_cols: list[str], key_col: str,
     The map is built per group by a grouped aggregate; a group is one batch of
     a report (its size is the number of features), never a whole table.
     """
-    entries = F.sort_array(F.collect_list(F.struct(F.col(key_col).cast("string").alias("key"),
-                                                   F.struct(*value_cols).alias("value"))))
-    agg = long_df.groupBy(*group_cols).agg(F.map_from_entries(entries).alias(map_name))
+    agg = nested_report(long_df, group_cols, key_col, value_cols, map_name)
     return agg.select(*group_cols, F.to_json(F.struct(*group_cols, map_name)).alias("json"))
+
+
+def write_report(df: DataFrame, path: str, fmt: str = "json", mode: str = "overwrite") -> None:
+    """A report as JSON lines (nested columns stay nested, nulls are written) or as CSV with a header (flat columns)."""
+    if fmt == "csv":
+        df.write.mode(mode).option("header", True).csv(path)
+    elif fmt == "json":
+        df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    else:
+        raise ValueError(f"reports are json or csv, not {fmt}")
+
+
+def read_report(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
+    """A report read back with its declared schema; a malformed line is an error."""
+    reader = spark.read.schema(schema).option("mode", "FAILFAST")
+    return reader.json(path) if fmt == "json" else reader.option("header", True).option("enforceSchema", False).csv(path)
+
+
+def nested_report(long_df: DataFrame, group_cols: list[str], key_col: str, value_cols: list[str], map_name: str = "feature_results") -> DataFrame:
+    """One row per group with ``{key: {values...}}`` as a map column (see ``to_json_report``)."""
+    entries = F.sort_array(F.collect_list(F.struct(F.col(key_col).cast("string").alias("key"), F.struct(*value_cols).alias("value"))))
+    return long_df.groupBy(*group_cols).agg(F.map_from_entries(entries).alias(map_name))
