@@ -34,7 +34,7 @@ def test_stages_on_odd_and_empty_tables(spark, odd, none):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 
