@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_u
 from tessera.operators.balance import smote
+from tessera.operators.net import fit_net
 from tessera.operators.neighbours import knn_classify, knn_share, knn_vote, nearest
 from tessera.operators import metrics as MM
 from tessera.operators import models as MD
@@ -77,6 +78,7 @@ _FITTERS = {
     "tree": lambda tr: MD.fit_tree(tr, "y"),
     "mlp": lambda tr: MD.fit_mlp(tr, N_DIM, "y"),
     "svm_rff": lambda tr: MD.fit_svm_rff(tr, N_DIM, "y"),
+    "net": lambda tr: fit_net(tr, N_DIM, "y"),
 }
 
 
@@ -96,6 +98,10 @@ def q_fit_mlp(spark, sf):
     return _eval(fitted(spark, sf, "mlp"), _train_val(spark, sf)[1])
 
 
+def q_fit_net(spark, sf):
+    return _eval(fitted(spark, sf, "net"), _train_val(spark, sf)[1])
+
+
 def q_fit_svm_rff(spark, sf):
     return _eval(fitted(spark, sf, "svm_rff"), _train_val(spark, sf)[1])
 
@@ -168,6 +174,7 @@ QUERIES = {
     "fit_gbt": q_fit_gbt,
     "fit_tree": q_fit_tree,
     "fit_mlp": q_fit_mlp,
+    "fit_net": q_fit_net,
     "fit_svm_rff": q_fit_svm_rff,
     "model_compare": q_model_compare,
     "tune_gbt": q_tune_gbt,
