@@ -9,8 +9,8 @@ hash of the key; the one bound of this module), parted by hash into three folds:
 * calibration fold: isotonic regression of the label on the trees' margin.
 
 Features of a whole text: lexicon densities (words, stems, weights), proximity of lexicon words
-to a second person, capitals, punctuation, obfuscation (letters spelt with digits or signs,
-stretched letters) and length.  Nothing but the text enters a score.
+to a second person, capitals of any script, shouted words, punctuation, obfuscation (letters spelt with
+digits or signs or masked by ``*``, stretched letters) and length.  Nothing but the text enters a score.
 
 Defined results: null and empty texts have zero features and get the score of those; repeated
 rows get equal scores; with no labelled row of either class every score is 0; repeated labels
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -52,9 +53,11 @@ NEAR = 5
 
 _PUNCTUATION = bytes(range(33, 48)) + b":;<=>?[\\]^_`{|}~"
 _SPACED = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
-_KEPT_SIGNS = bytes.maketrans(_PUNCTUATION.replace(b"$", b"").replace(b"!", b""), b" " * (len(_PUNCTUATION) - 2))
+_MASKS = _PUNCTUATION.translate(None, b"$!*")
+_KEPT_SIGNS = bytes.maketrans(_MASKS, b" " * len(_MASKS))
 _PLAIN = bytes.maketrans(b"013457@$!", b"oieastasi")
-_ODD = re.compile(rb"[a-z][0-9@$!]+[a-z]")
+#: A sign or digit between letters, or a sign in place of the first letter.
+_ODD = re.compile(rb"[a-z][0-9@$!*]+[a-z]|(?<![^\s])[@$][a-z]")
 _STRETCHED = re.compile(rb"([a-z])\1{3,}")
 
 
@@ -80,9 +83,44 @@ def family(words: list[bytes]) -> int:
     return min((zlib.crc32(b" ".join(g)) for g in grams), default=zlib.crc32(b" ".join(words)))
 
 
-def features(text: str | None, lexicon: dict[bytes, float]) -> list[float]:
+def by_length(lexicon: dict[bytes, float]) -> dict[int, list[bytes]]:
+    """The whole words of the lexicon, heaviest first, for masked letters."""
+    found: dict[int, list[bytes]] = {}
+    for w in sorted(lexicon, key=lambda x: (-lexicon[x], x)):
+        if not w.endswith(b"*"):
+            found.setdefault(len(w), []).append(w)
+    return found
+
+
+def undisguised(word: bytes, lexicon: dict[bytes, float], lengths: dict[int, list[bytes]]) -> bytes | None:
+    """The lexicon's word that ``word`` spells with digits, signs or masked letters (``*``), or None."""
+    for bare in dict.fromkeys((word.rstrip(b"!$*"), word.strip(b"!$*"))):
+        plain = bare.translate(_PLAIN)
+        if plain in lexicon:
+            return plain
+        if 0 < plain.count(b"*") < len(plain):
+            spelt = re.compile(b"[a-z]".join(map(re.escape, plain.split(b"*"))))
+            if found := next(filter(spelt.fullmatch, lengths.get(len(plain), ())), None):
+                return found
+    return None
+
+
+def capitals(text: str) -> int:
+    """Characters that lower-casing changes, of any script."""
+    if text.isascii():
+        return sum(map(text.count, string.ascii_uppercase))
+    lower = text.lower()
+    if len(lower) != len(text):  # a letter of two in lower case
+        return sum(map(str.isupper, text))
+    return int(np.count_nonzero(np.frombuffer(text.encode("utf-32-le"), "u4") != np.frombuffer(lower.encode("utf-32-le"), "u4")))
+
+
+def features(text: str | None, lexicon: dict[bytes, float], lengths: dict[int, list[bytes]] | None = None) -> list[float]:
+    """The features of a whole text; ``lengths`` is ``by_length`` of the lexicon, made here if not given."""
     if not text:
         return [0.0] * len(FEATURES)
+    if lengths is None:
+        lengths = by_length(lexicon)
     words = tokens(text)
     n = max(1, len(words))
     raw = text.encode()
@@ -95,13 +133,17 @@ def features(text: str | None, lexicon: dict[bytes, float]) -> list[float]:
             best = max((lexicon.get(s, 0.0) for s in (w[:4] + b"*", w[:5] + b"*", w[:6] + b"*")), default=0.0) if len(w) > 4 else 0.0
             if best:
                 weight[w], kinds[w] = best, 2
-    # words spelt with digits or signs instead of letters
+    # words spelt with digits or signs instead of letters, or with masked letters
     disguised = 0
-    if _ODD.search(raw.lower()):
-        for w in raw.lower().translate(_KEPT_SIGNS).split():
-            if _ODD.search(w) and (plain := w.strip(b"!$").translate(_PLAIN)) != w:
+    lower = raw.lower()
+    if _ODD.search(lower):
+        spelt: dict[bytes, bytes | None] = {}
+        for w in lower.translate(_KEPT_SIGNS).split():
+            if _ODD.search(w):
                 disguised += 1
-                if plain in lexicon:
+                if w not in spelt:
+                    spelt[w] = undisguised(w, lexicon, lengths)
+                if plain := spelt[w]:
                     weight[w], kinds[w] = lexicon[plain], 1
                     words.append(w)
     hits = [(i, w) for i, w in enumerate(words) if w in weight] if weight else []
@@ -110,13 +152,13 @@ def features(text: str | None, lexicon: dict[bytes, float]) -> list[float]:
         at = np.array([i for i, w in enumerate(words) if w in SECOND_PERSON])
         near = sum(int(np.abs(at - i).min()) <= NEAR for i, _ in hits)
     letters = max(1, len(text))
-    upper = sum(map(text.count, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    shouted = sum(1 for w in text.split() if w.isupper() and len(w) > 1) if upper > 0.1 * letters else 0
+    upper = capitals(text)
+    shouted = sum(1 for w in text.split() if len(w) > 1 and w.isupper()) if upper > 1 else 0
     signs = len(raw) - len(raw.translate(None, _PUNCTUATION))
     return [sum(kinds[w] == 1 for _, w in hits) / n, sum(kinds[w] == 2 for _, w in hits) / n,
             sum(weight[w] for _, w in hits) / n, max(weight.values(), default=0.0), math.log1p(len(hits)), near / n,
             upper / letters, shouted / n, signs / letters, text.count("!") / letters, disguised / n,
-            len(_STRETCHED.findall(raw.lower())) / n, math.log1p(len(words))]
+            len(_STRETCHED.findall(lower)) / n, math.log1p(len(words))]
 
 
 def with_features(docs: DataFrame, lexicon: dict[bytes, float], text: str = "text", keep_text: bool = False,
@@ -126,8 +168,9 @@ def with_features(docs: DataFrame, lexicon: dict[bytes, float], text: str = "tex
     names = [f.name for f in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths = by_length(lexicon)
         for batch in batches:
-            made = pa.array([features(t.as_py(), lexicon) for t in batch.column(text)], pa.list_(pa.float64()))
+            made = pa.array([features(t.as_py(), lexicon, lengths) for t in batch.column(text)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], [*names, out])
 
     return short_batches(docs).mapInArrow(then_give_back(run), T.StructType([*keep, T.StructField(out, T.ArrayType(T.DoubleType()))]))

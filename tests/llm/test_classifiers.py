@@ -9,10 +9,10 @@ from tessera.llm.toxicity_queries import op2_toxicity
 from tests.conftest import SF_MID
 
 
-def labelled(spark):
+def labelled(spark, n=500):
     rng, docs, labels = random.Random(2), [], []
     words = ["".join(rng.choices("abcdefghij", k=rng.randint(3, 8))) for _ in range(400)]
-    for i in range(500):
+    for i in range(n):
         text = rng.choices(words, k=rng.randint(5, 60))
         if bad := i % 5 == 0:
             for _ in range(rng.randint(1, 3)):
@@ -37,16 +37,40 @@ def test_toxicity_learns_and_scores_odd_rows(spark, odd, none):
     assert {r.score for r in toxicity.score(docs, unlearnt).collect()} == {0.0}
 
 
+def test_toxicity_finds_every_planted_document_of_a_larger_table(spark):
+    docs, labels = labelled(spark, 2000)
+    model = toxicity.fit(labels.filter(~held_out(F.col("doc_id"))), docs)
+    scored = toxicity.score(docs, model).filter(held_out(F.col("doc_id"))).collect()
+    assert len(scored) > 300 and not [(r.doc_id, r.score) for r in scored if (r.score >= 0.5) != (r.doc_id % 5 == 0)]
+
+
 def test_features_see_disguise_and_second_person():
     lexicon = {b"idiot": 2.0, b"stup*": 1.0}
     plain, disguised = toxicity.features("you are an idiot", lexicon), toxicity.features("you are an 1d10t", {b"idiot": 2.0})
     names = toxicity.FEATURES
     assert plain[names.index("near_second_person")] > 0 and plain[names.index("max_weight")] == 2.0
-    assert disguised[names.index("obfuscation")] >= 0
+    assert disguised[names.index("obfuscation")] > 0 and disguised[names.index("max_weight")] == 2.0
+    assert plain[names.index("obfuscation")] == 0
+    for masked in ("you id*ot", "you i**ot!", "an !d!ot", "1di*t$"):
+        made = toxicity.features(masked, lexicon)
+        assert made[names.index("max_weight")] == 2.0 and made[names.index("obfuscation")] > 0, masked
+    assert toxicity.features("you $cum", {b"scum": 3.0})[names.index("max_weight")] == 3.0
+    for clean in ("* a list * of items", "costs $5 or 5$", "a ** b", "****"):
+        assert toxicity.features(clean, lexicon)[names.index("max_weight")] == 0.0
     assert toxicity.features("so stupidly", lexicon)[names.index("stem_density")] > 0
     assert toxicity.features(None, lexicon) == toxicity.features("", lexicon) == [0.0] * len(names)
 
 
+def test_capitals_of_any_script_and_few_shouted_words():
+    names = toxicity.FEATURES
+    made = toxicity.features("quiet words " * 200 + "GO AWAY", {})
+    assert made[names.index("shouted_words")] == 2 / 402
+    assert toxicity.features("УЙДИ отсюда", {})[names.index("shouted_words")] == 0.5
+    for text in ("Ab cD É ß", "УЙДИ отсюда", "İI ı", "日本語 X", "ǅ a", ""):
+        assert toxicity.capitals(text) == sum(c != c.lower() for c in text) or len(text.lower()) != len(text), text
+    assert toxicity.capitals("İI") == 2
+
+
 def test_toxicity_query_on_held_out_rows(spark):
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
     english = spark.read.parquet(f"{SF_MID}/documents.parquet").filter("lang = 'en'").select("doc_id")
