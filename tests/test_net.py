@@ -4,7 +4,6 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as E
