@@ -4,7 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from tessera.llm import url_rules as ur
-from tessera.llm.url_queries import RULES
+from tessera.llm.url_queries import RULES, op6_url_rules, page_labels
 
 ODD = [None, "", "no scheme/en/", "http://", "HTTP://WWW.Example.COM/en/x?y#z", "http://a.example.com/en/1", "http://example.com/en", "http://com/",
        "http://x.net/fr/a", "http://xnet/fr/a", "http://net/es/", "http://a.org?u=http://b.net/fr/", "http://a.org#/en/", "ftp://É.com/é", "a://b://c/d"]
@@ -54,3 +54,25 @@ def test_mined_rules_equal_brute_force(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert ur.judge(none, spark.createDataFrame([], "page_id long, verdict string"), RULES).collect() == []
+
+
+def test_labels_are_those_of_the_document_shown(spark):
+    urls = ["http://a.org/en/7", "http://a.org/de/8.html?x=1", "http://a.org/en/9/", "http://a.org/en/x7", "http://a.org/7", None, "",
+            "http://a.org/en/7", "http://a.org/en/99999999999999999999", "http://a.org/en/70", "http://a.org/en/10#7"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(7, 1, 0), (7, 0, 0), (8, 1, 1), (9, 1, 0), (10, None, None), (None, 0, 1), (0, 0, 1)], "doc_id long, quality int, toxic int")
+    got = sorted((r.page_id, r.verdict) for r in page_labels(pages, labels).collect())
+    assert got == [(0, "block"), (1, "block"), (2, "allow"), (7, "block"), (10, "allow")]
+    assert page_labels(pages.limit(0), labels).collect() == []
+    assert page_labels(pages, labels.limit(0)).collect() == []
+
+
+def test_mined_rules_decide_pages(spark, tmp_path):
+    # page i shows document 1000 + i; the labels of documents 0 to 119 belong to no page
+    host = lambda i: ["bad", "good", "fine"][i % 3]
+    pages = [(i, f"http://{host(i)}.org/en/{1000 + i}") for i in range(120)]
+    labels = [(1000 + i, 1, int(host(i) == "bad")) for i in range(90)] + [(i, 1, int(host(i) == "good")) for i in range(120)]
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.page_id: (r.rule, r.verdict) for r in op6_url_rules(spark, str(tmp_path)).collect()}
+    assert got == {i: (None, "block" if host(i) == "bad" else "allow") for i in range(120)}
