@@ -3,9 +3,9 @@
 * ``shapley_linear`` - exact Shapley values of a linear score with
   independent features: phi_j = w_j * (x_j - mean_j), base = f(mean).
 * ``shapley_sampled`` - permutation-sampled Shapley values
-  (Strumbelj & Kononenko 2014) of any fitted model: rows x permutations x
-  features become (with, without) hybrid rows against a hashed background
-  row, scored by one ``transform``; phi = mean difference per (row, feature).
+  (Strumbelj & Kononenko 2014) of any fitted model: every (row, permutation)
+  becomes a path of d + 1 hybrid rows from a hashed background row, scored by
+  one ``transform``; phi = mean difference per (row, feature).
 * ``global_importance`` - mean |phi| per feature, ranked.
 * ``top_k_per_row`` - the k largest |phi| of each row.
 * ``local_surrogate`` - perturb around a row, weight by proximity and fit a
@@ -16,9 +16,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,40 +77,43 @@ def top_k_per_row(phi: DataFrame, id_cols: list[str], k: int = 15, feature: str
     return phi.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _hybrids(seed: int, n_features: int, id_type: str):
-    """mapInPandas body: for each (row, permutation) emit the 2 x d hybrid vectors
-    ("with j" / "without j" for every feature j).  The permutation comes from a
-    generator seeded by (seed, row id, permutation), so it does not depend on
-    partitioning; everything is numpy masks, no per-element Python."""
-    d = n_features
+HYBRIDS_AT_ONCE = 2_048
 
-    def run(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            xs = np.vstack(pdf["__x"].to_numpy()).astype(np.float64)
-            zs = np.vstack(pdf["__z"].to_numpy()).astype(np.float64)
-            rids, ps = pdf["__rid"].to_numpy(), pdf["__p"].to_numpy()
-            vecs, out_r, out_p, out_j, out_s = [], [], [], [], []
-            for i in range(len(pdf)):
-                rid = int(rids[i])
-                rng = np.random.default_rng([seed, rid & 0xFFFFFFFF, (rid >> 32) & 0xFFFFFFFF, int(ps[i])])
-                pos = np.empty(d, dtype=np.int64)
-                pos[rng.permutation(d)] = np.arange(d)
-                with_j = pos[None, :] <= pos[:, None]  # row j: features placed up to j
-                without_j = pos[None, :] < pos[:, None]
-                vecs.append(np.where(with_j, xs[i], zs[i]))
-                vecs.append(np.where(without_j, xs[i], zs[i]))
-                out_r.append(np.full(2 * d, rid))
-                out_p.append(np.full(2 * d, ps[i]))
-                out_j.append(np.tile(np.arange(d), 2))
-                out_s.append(np.repeat([1, -1], d))
-            block = np.vstack(vecs)
-            yield pd.DataFrame({"__rid": np.concatenate(out_r), "__p": np.concatenate(out_p),
-                                "__j": np.concatenate(out_j), "__s": np.concatenate(out_s),
-                                "__v": list(block)})
-    schema = f"__rid {id_type}, __p int, __j long, __s int, __v array<double>"
-    return run, schema
+
+def _hybrids(seed: int, n_features: int):
+    """mapInArrow body: for each (row, permutation) the d + 1 hybrids of its path.
+
+    Hybrid i has the row's values in the first i features of the permutation and the background's in the
+    others, so it is "with" the feature placed last (``__plus``) and "without" the one placed next (``__minus``):
+    d + 1 vectors give all d differences.  The permutation comes from a generator seeded by (seed, row id,
+    permutation), so it does not depend on partitioning.  A batch has about HYBRIDS_AT_ONCE vectors, whatever came in.
+    """
+    d = n_features
+    step = max(1, HYBRIDS_AT_ONCE // (d + 1))
+    placed = np.tril(np.ones((d + 1, d), bool), -1)  # row i: the first i places
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                rids, ps = part.column("__rid"), part.column("__p").to_pylist()
+                xs, zs = (np.array(part.column(c).to_pylist(), "f8") for c in ("__x", "__z"))
+                n = part.num_rows
+                vecs = np.empty((n, d + 1, d))
+                plus, minus = np.full((n, d + 1), -1), np.full((n, d + 1), -1)
+                for i, rid in enumerate(rids.to_pylist()):
+                    rng = np.random.default_rng([seed, rid & 0xFFFFFFFF, (rid >> 32) & 0xFFFFFFFF, ps[i]])
+                    order = rng.permutation(d)
+                    plus[i, 1:], minus[i, :-1] = order, order
+                    mine = np.empty((d + 1, d), bool)
+                    mine[:, order] = placed
+                    vecs[i] = np.where(mine, xs[i], zs[i])
+                ends = np.arange(0, vecs.size + 1, d, dtype="i4")
+                yield pa.RecordBatch.from_arrays(
+                    [rids.take(pa.array(np.repeat(np.arange(n), d + 1))), pa.array(plus.ravel()), pa.array(minus.ravel()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(vecs.ravel()))], ["__rid", "__plus", "__minus", "__v"])
+
+    return run
 
 
 def shapley_sampled(model, rows: DataFrame, background: DataFrame, id_col: str, vec_col: str,
@@ -134,11 +139,15 @@ def shapley_sampled(model, rows: DataFrame, background: DataFrame, id_col: str,
     perms = perms.withColumn("__bidx", (F.pmod(F.floor(hash_u(key, "bgpick", seed) * F.lit(4294967296.0))
                                                .cast("long"), F.lit(n_bg)) + 1))
     perms = perms.join(bg.select("__bidx", "__z"), on="__bidx").select("__rid", "__p", "__x", "__z")
-    fn, schema = _hybrids(seed, n_features, rows.schema[id_col].dataType.simpleString())
-    both = perms.mapInPandas(fn, schema).withColumn(features_col, array_to_vector("__v")).drop("__v")
-    scored = model.transform(both)
-    diff = scored.groupBy("__rid", "__p", "__j").agg(F.sum(F.col("__s") * F.col("score")).alias("__d"))
-    phi = diff.groupBy("__rid", "__j").agg(F.avg("__d").alias("phi"))
+    # the permutations of a row in one task: their differences are added up before the shuffle
+    perms = perms.repartition("__rid")
+    id_type = rows.schema[id_col].dataType.simpleString()
+    paths = perms.mapInArrow(_hybrids(seed, n_features), f"__rid {id_type}, __plus long, __minus long, __v array<double>")
+    scored = model.transform(paths.withColumn(features_col, array_to_vector("__v")).drop("__v"))
+    ends = F.array(F.struct(F.col("__plus").alias("j"), F.col("score").alias("s")),
+                   F.struct(F.col("__minus").alias("j"), (-F.col("score")).alias("s")))
+    parts = scored.select("__rid", F.explode(ends).alias("e")).select("__rid", F.col("e.j").alias("__j"), F.col("e.s").alias("__s"))
+    phi = parts.where("__j >= 0").groupBy("__rid", "__j").agg((F.sum("__s") / n_perm).alias("phi"))
     return phi.select(F.col("__rid").alias(id_col), F.col("__j").alias("feature"), "phi")
 
 

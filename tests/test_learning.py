@@ -1,10 +1,14 @@
 """kNN exactness and pruning, SMOTE invariants, Shapley additivity, model fits."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tessera.operators import explain
 from tessera.operators import models as MD
 from tessera.operators import tuning
 from tessera.operators.balance import smote
@@ -119,3 +123,36 @@ def test_tuning_query_fits_every_trial(spark, monkeypatch):
     trials = E.queries()["tune_gbt"](spark, SF_SMALL).collect()
     assert len(trials) == 50 and len({r["trial"] for r in trials}) == 50
     assert all(r["loss"] is not None and r["fit_seconds"] > 0 for r in trials)
+
+
+def test_hybrids_come_in_small_batches():
+    """A batch of 600 rows of 64 features was 76,800 vectors at once."""
+    n, d = 600, 64
+    rng = np.random.default_rng(0)
+    given = pa.RecordBatch.from_pydict({"__rid": list(range(n)), "__p": [1] * n, "__x": rng.random((n, d)).tolist(), "__z": rng.random((n, d)).tolist()})
+    made = list(explain._hybrids(42, d)(iter([given])))
+    assert max(b.num_rows for b in made) <= explain.HYBRIDS_AT_ONCE and sum(b.num_rows for b in made) == n * (d + 1)
+
+
+def test_shapley_sampled_equals_its_definition(spark):
+    rng = np.random.default_rng(1)
+    x, z, d, n_perm = rng.random((5, 6)), rng.random(6), 6, 3
+    f = lambda v: v[0] * v[1] + v[2] ** 2 - v[3] * v[4] * v[5]
+
+    class Model:
+        def transform(self, df):
+            v = [F.get(vector_to_array("features"), F.lit(j)) for j in range(d)]
+            return df.withColumn("score", f(v))
+
+    schema = "vec_id long, v array<double>"
+    rows = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], schema)
+    got = shapley_sampled(Model(), rows, spark.createDataFrame([(9, z.tolist())], schema), "vec_id", "v", d, n_perm)
+    want = {}
+    for i, r in enumerate(x):
+        for p in range(n_perm):
+            order, at = np.random.default_rng([42, i, 0, p]).permutation(d), z.copy()
+            for j in order.tolist():
+                before = f(at)
+                at[j] = r[j]
+                want[i, j] = want.get((i, j), 0.0) + (f(at) - before) / n_perm
+    assert {(r.vec_id, r.feature): r.phi for r in got.collect()} == pytest.approx(want)
