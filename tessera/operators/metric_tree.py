@@ -133,6 +133,36 @@ def build(ref: DataFrame, rid: str, vec: str, group: str, cell: int | None = Non
     return tree
 
 
+def leaf_order(tree: Tree) -> list[tuple]:
+    """(group, leaf) of every leaf, depth first: a group's leaves together, those of one parent side by side."""
+    out = []
+    for group, root in tree.roots.items():
+        todo = [root]
+        while todo:
+            node = todo.pop()
+            todo += reversed(tree.children[node])
+            if not tree.children[node]:
+                out.append((group, node))
+    return out
+
+
+def packed(order: list[tuple], sizes: dict, most: int) -> dict:
+    """leaf -> (first block, number of blocks): leaves in a row share a block while it has at most ``most`` rows and one
+    group; a leaf with more rows has blocks of its own."""
+    out, block, held, of = {}, -1, 0, None
+    for group, leaf in order:
+        size = sizes.get(leaf, 0)
+        if size > most:
+            n = math.ceil(size / most)
+            out[leaf], block, held = (block + 1, n), block + n, most
+        elif size:
+            if block < 0 or group != of or held + size > most:
+                block, held = block + 1, 0
+            out[leaf], held = (block, 1), held + size
+        of = group
+    return out
+
+
 def candidates(tree: Tree, group, x: np.ndarray, k: int) -> list[int]:
     """The leaves that may hold one of the ``k`` nearest rows of any of the queries ``x`` of one group."""
     root = tree.roots.get(group)
@@ -160,6 +190,7 @@ def candidates(tree: Tree, group, x: np.ndarray, k: int) -> list[int]:
 def candidate_rows(tree, k: int, block: list[str]):
     """applyInPandas body for a block of queries: one row for each leaf that the block needs."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__leaf") if "__leaf" in pdf else pdf  # near queries prune together
         x, found = matrix(pdf["__qvec"]), set()
         for start in range(0, len(x), QUERIES):  # bounds the matrix of queries and nodes
             found.update(candidates(tree.value, pdf["__g"].iloc[0], x[start:start + QUERIES], k))

@@ -2,11 +2,12 @@
 
 1. ``metric_tree.build`` splits the references into cells below pivots of pivots, with a radius and a count at
    each node; its size is bounded in bytes, and so is what is broadcast.
-2. Queries go down the tree to their own leaf and are dealt into blocks of near queries.  Each block descends
-   the tree once, with an upper bound of every query's k-th distance, and names the cells that can hold a
-   neighbour: rows are (block, cell), never (query, pivot).
-3. Blocks of at most about ``QUERY_BLOCK`` queries and ``REF_BLOCK`` references meet in
-   ``cogroup().applyInPandas``: one numpy distance matrix, only the k best per query leave it.  Then
+2. Rows go down the tree to their own leaf; neighbouring leaves share a block (``block_rows``: about BLOCKS
+   on either side, of bounded size), so their number doesn't grow with the number of cells.  Each block of
+   queries descends the tree, with an upper bound of every query's k-th distance, and names the leaves that can hold a
+   neighbour: rows are (block, block), never (query, pivot).
+3. Two blocks meet in ``cogroup().applyInPandas``: a matrix product leaves out the pairs that are too far
+   (``k_best``), exact distances decide on the others, only the k best per query leave it.  Then
    ``row_number() <= k`` per query keeps the global k nearest; Spark plans this
    as a window group limit, taking partial top-k before the shuffle.
 
@@ -63,36 +64,81 @@ def _sq_dist_batch(a: pd.Series, b: pd.Series) -> pd.Series:
 
 QUERY_BLOCK = 1024
 REF_BLOCK = 4096
+BLOCKS = 16  # aimed at on either side, between the sizes above and LARGEST times those
+LARGEST = 8
+AT_ONCE = 1 << 21  # pairs whose rough distances a task holds
+
+
+def block_rows(rows: int, least: int) -> int:
+    """Rows of a block: vectors are sent once for every block of the other side, so large tables have larger blocks."""
+    return min(max(least, math.ceil(rows / BLOCKS)), LARGEST * least)
+
+
+def k_best(qx: np.ndarray, rx: np.ndarray, qids: np.ndarray, rids: np.ndarray, k: int, exclude_self: bool = False):
+    """(query row, reference row, distance) of the ``k`` nearest references of every query; ties go to the smaller id.
+
+    A matrix product gives rough distances.  The k-th least of the minima of stripes bounds a query's k-th distance
+    from above; the pairs within it (and a slack for rounding) get their exact distance, the same
+    sequential sum as ``sq_dist``.  Rows with entries that aren't finite have no distances.
+    """
+    q_rows, r_rows = (np.flatnonzero(np.isfinite(x).all(axis=1)) for x in (qx, rx))
+    qx, rx, qids, rids = qx[q_rows], rx[r_rows], qids[q_rows], rids[r_rows]
+    n, found = len(rx), []
+    if n and len(qx):
+        with np.errstate(over="ignore", invalid="ignore"):
+            q_norm, r_norm = np.einsum("ij,ij->i", qx, qx), np.einsum("ij,ij->i", rx, rx)
+            rough = np.isfinite(4 * (q_norm.max() + r_norm.max()))
+        q_axes, r_axes = np.ascontiguousarray(qx.T), np.ascontiguousarray(rx.T)
+        kth = min(k, n)
+        stripes = max(1, min(64, n // (8 * kth)))
+        slack = 4e-9 + 1e-11 * (q_norm + r_norm.max())
+        by_id = np.argsort(rids, kind="stable") if exclude_self else None
+        step = max(1, AT_ONCE // n)
+        for start in range(0, len(qx), step):
+            some = slice(start, start + step)
+            if rough:
+                near = qx[some] @ r_axes
+                near *= -2.0
+                near += r_norm
+                near += q_norm[some, None]
+            else:  # squares overflow: every pair is summed
+                near = np.zeros((len(qx[some]), n))
+            if exclude_self:
+                lo, hi = (np.searchsorted(rids, qids[some], side, sorter=by_id) for side in ("left", "right"))
+                for i in np.flatnonzero(hi > lo).tolist():
+                    near[i, by_id[lo[i]:hi[i]]] = np.inf
+            least = near[:, :stripes * (n // stripes)].reshape(len(near), stripes, -1).min(axis=1)
+            limit = np.partition(least, kth - 1, axis=1)[:, kth - 1] + slack[some]
+            i, j = np.divmod(np.flatnonzero(near <= limit[:, None]), n)
+            del near
+            away = np.zeros(len(i))
+            with np.errstate(over="ignore"):
+                for q_axis, r_axis in zip(q_axes[:, some], r_axes, strict=True):
+                    diff = q_axis[i] - r_axis[j]
+                    away += diff * diff
+            away = np.round(away, DIST_DIGITS)
+            good = np.isfinite(away)
+            if exclude_self:
+                good &= qids[some][i] != rids[j]
+            i, j, away = i[good], j[good], away[good]
+            order = np.lexsort((rids[j], away, i))  # query, distance, id
+            i, j, away = i[order], j[order], away[order]
+            first = np.arange(len(i)) - np.searchsorted(i, i, "left") < k
+            found.append((q_rows[start + i[first]], r_rows[j[first]], away[first]))
+    if not found:
+        return np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
 def _block_top_k(k: int, exclude_self: bool, by: list[str], qid: str, rid: str):
-    """cogroup body: exact distances of one (cell, query chunk, ref chunk) block in
-    numpy, same sequential sum as ``sq_dist``; emits only each query's k best."""
+    """cogroup body: a block of queries against a block of references; emits only each query's k best."""
     def run(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         cols = [*by, qid, rid, "sq_dist"]
         if len(qpdf) == 0 or len(rpdf) == 0:
             return pd.DataFrame({c: [] for c in cols})
-        qx = np.vstack(qpdf["__qvec"].to_numpy()).astype(np.float64)
-        rx = np.vstack(rpdf["__rvec"].to_numpy()).astype(np.float64)
-        acc = np.zeros((qx.shape[0], rx.shape[0]))
-        for j in range(qx.shape[1]):
-            diff = qx[:, j][:, None] - rx[:, j][None, :]
-            acc = acc + diff * diff
-        acc = np.round(acc, DIST_DIGITS)
-        qids = qpdf["__qid"].to_numpy()
-        rids = rpdf[rid].to_numpy()
-        if exclude_self:
-            acc = np.where(qids[:, None] == rids[None, :], np.inf, acc)
-        kk = min(k, rx.shape[0])
-        out_q, out_r, out_d = [], [], []
-        for i in range(qx.shape[0]):
-            order = np.lexsort((rids, acc[i]))[:kk]  # distance, then id
-            keep = order[np.isfinite(acc[i][order])]
-            out_q.append(np.full(len(keep), qids[i]))
-            out_r.append(rids[keep])
-            out_d.append(acc[i][keep])
-        res = pd.DataFrame({qid: np.concatenate(out_q), rid: np.concatenate(out_r),
-                            "sq_dist": np.concatenate(out_d)})
+        qids, rids = qpdf["__qid"].to_numpy(), rpdf[rid].to_numpy()
+        i, j, away = k_best(_matrix(qpdf["__qvec"]), _matrix(rpdf["__rvec"]), qids, rids, k, exclude_self)
+        res = pd.DataFrame({qid: qids[i], rid: rids[j], "sq_dist": away})
         for c in by:
             res[c] = qpdf[c].iloc[0]
         return res[cols]
@@ -121,22 +167,27 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
     cell = math.ceil(ref.count() / n_pivots) if n_pivots else None
     tree = spark.sparkContext.broadcast(metric_tree.build(ref, rid, "__rvec", "__g", cell))
 
-    refs = metric_tree.located(ref, tree, "__rvec", "__g").withColumnRenamed("__leaf", "__cell")
-    cells = refs.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / REF_BLOCK).cast("int").alias("__cr"))
-    # queries of one leaf are near each other; a full leaf is dealt into several blocks
-    near = metric_tree.located(query, tree, "__qvec", "__g").where(F.col("__leaf") >= 0)
-    full = near.groupBy("__leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("__cq"))
-    near = near.join(full, "__leaf").withColumn("__qc", F.pmod(F.xxhash64("__qid"), F.col("__cq")).cast("int"))
-    near = near.select(*by, "__qid", "__qvec", "__g", F.col("__leaf").alias("__home"), "__qc")
-    needs = near.groupBy("__home", "__qc").applyInPandas(
-        metric_tree.candidate_rows(tree, k_eff, ["__home", "__qc"]), "__home long, __qc int, __leaf long")
-    needs = cut_lineage(needs.withColumnRenamed("__leaf", "__cell").join(cells, on="__cell")
-                        .withColumn("__rc", F.explode(F.sequence(F.lit(0), F.col("__cr") - 1))))
-    qside = near.join(needs, on=["__home", "__qc"]).select(*by, "__cell", "__rc", "__home", "__qc", "__qid", "__qvec")
-    rside = (refs.join(cells, on="__cell").withColumn("__rc", F.pmod(F.xxhash64(rid), F.col("__cr")).cast("int"))
-             .join(needs.drop("__cr"), on=["__cell", "__rc"])
-             .select(*by, "__cell", "__rc", "__home", "__qc", rid, "__rvec"))
-    key = ["__cell", "__rc", "__home", "__qc"]
+    # leaves that stand beside each other in the tree share a block; a full leaf is dealt into several
+    order = metric_tree.leaf_order(tree.value)
+    sizes = {leaf: tree.value.count[leaf] for _, leaf in order}
+    packs = _blocks(spark, order, sizes, block_rows(sum(sizes.values()), REF_BLOCK))
+    refs = metric_tree.located(ref, tree, "__rvec", "__g").join(F.broadcast(packs), "__leaf")
+    refs = refs.withColumn("__rb", F.col("__first") + F.pmod(F.xxhash64(rid), F.col("__n")))
+    near = cut_lineage(metric_tree.located(query, tree, "__qvec", "__g").where(F.col("__leaf") >= 0))
+    sizes = {r["__leaf"]: r["n"] for r in near.groupBy("__leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a leaf
+    blocks = _blocks(spark, order, sizes, block_rows(sum(sizes.values()), QUERY_BLOCK))
+    near = near.join(F.broadcast(blocks), "__leaf").withColumn("__qb", F.col("__first") + F.pmod(F.xxhash64("__qid"), F.col("__n")))
+    near = near.select(*by, "__qid", "__qvec", "__g", "__leaf", "__qb")
+    needs = near.groupBy("__qb").applyInPandas(metric_tree.candidate_rows(tree, k_eff, ["__qb"]), "__qb long, __leaf long")
+    needs = needs.join(F.broadcast(packs), "__leaf").select("__qb", F.explode(F.sequence("__first", F.col("__first") + F.col("__n") - 1)).alias("__rb"))
+    needs = cut_lineage(needs.distinct())  # a row for each two blocks that meet
+
+    def meeting(own: str, other: str) -> DataFrame:
+        return F.broadcast(needs.groupBy(own).agg(F.collect_list(other).alias("__other")))
+
+    key = ["__qb", "__rb"]
+    qside = near.join(meeting("__qb", "__rb"), "__qb").select(*by, "__qb", F.explode("__other").alias("__rb"), "__qid", "__qvec")
+    rside = refs.join(meeting("__rb", "__qb"), "__rb").select(*by, F.explode("__other").alias("__qb"), "__rb", rid, "__rvec")
     schema_by = ", ".join(f"`{c}` {query.schema[c].dataType.simpleString()}" for c in by)
     schema = ((schema_by + ", ") if by else "") + (
         f"`{qid}` {query.schema['__qid'].dataType.simpleString()}, "
@@ -148,6 +199,12 @@ def nearest(query: DataFrame, ref: DataFrame, k: int, qid: str = "qid", rid: str
             .where(F.col("rank") <= k))
 
 
+def _blocks(spark, order: list[tuple], sizes: dict, most: int) -> DataFrame:
+    """(__leaf, __first, __n): the blocks first .. first + n - 1 of at most about ``most`` rows, one row a leaf."""
+    schema = "__leaf long, __first long, __n long"
+    return spark.createDataFrame([(leaf, *at) for leaf, at in metric_tree.packed(order, sizes, most).items()], schema)
+
+
 def knn_vote(neigh: DataFrame, ref_labels: DataFrame, qid: str = "qid", rid: str = "rid",
              label: str = "label", digits: int = DIST_DIGITS) -> DataFrame:
     """Inverse-distance vote: weight 1/d; if any neighbour is at distance 0 only those vote.

@@ -94,3 +94,37 @@ def test_the_tree_is_bounded_in_bytes(spark, monkeypatch):
     monkeypatch.setattr(MT, "CELL", 1)
     tree = MT.build(frame(spark, clustered(500, 4, 5), "rid"), "rid", "vec", "kind", fanout=8)
     assert len(tree.pivots) * (8 * 4 + 64) < 20_000
+
+
+def slow_best(q, r, q_ids, r_ids, k, own=False):
+    out = set()
+    for i, a in enumerate(q):
+        with np.errstate(over="ignore", invalid="ignore"):
+            d = [(float(np.round(sum((a[t] - b[t]) ** 2 for t in range(len(a))), 9)), r_ids[j], j) for j, b in enumerate(r)
+                 if not own or q_ids[i] != r_ids[j]]
+        out |= {(i, j, x) for x, _, j in sorted(t for t in d if np.isfinite(t[0]))[:k]}
+    return out
+
+
+@pytest.mark.parametrize("own", [False, True])
+def test_k_best_equals_every_pair(monkeypatch, own):
+    monkeypatch.setattr(NB, "AT_ONCE", 2_000)
+    rng = np.random.default_rng(4)
+    r, q = rng.integers(0, 3, (700, 4)).astype("f8"), rng.integers(0, 3, (40, 4)).astype("f8")  # many ties
+    r[::7] += 1e-6 * rng.normal(size=(100, 4))
+    r[5, 2], q[3, 1], r[6, 0], q[4] = np.nan, np.nan, np.inf, 1e9
+    q_ids, r_ids = np.arange(40), rng.permutation(700)
+    r_ids[:9] = 2  # one id on several rows
+    for refs in (r, r[:3], r[:0], np.where(r == 2, 1e200, r)):
+        got = NB.k_best(q, refs, q_ids, r_ids[:len(refs)], 5, own)
+        want = slow_best(q, refs, q_ids, r_ids, 5, own)
+        ids = lambda found: sorted((i, r_ids[j], x) for i, j, x in found)
+        assert ids(zip(*(c.tolist() for c in got), strict=True)) == ids(want)
+
+
+def test_blocks_grow_with_rows_not_with_leaves():
+    order = [("a", i) for i in range(4_000)] + [("b", i) for i in range(4_000, 4_003)]
+    at = MT.packed(order, {i: 20 for i in range(4_000)} | {4_000: 900, 4_001: 5}, 400)
+    assert len({b for b, _ in at.values()}) == 202  # 200 of a, the first of three for the full leaf of b, one more
+    assert at[4_000] == (200, 3) and at[4_001] == (203, 1) and 4_002 not in at
+    assert NB.block_rows(82_000, 4_096) < 6_000 and NB.block_rows(10 ** 9, 4_096) == NB.LARGEST * 4_096
