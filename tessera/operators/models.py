@@ -76,14 +76,13 @@ LEAST_ROWS = 1_000
 def training_input(df: DataFrame) -> DataFrame:
     """Persist the training rows once (iterative learners scan them every
     iteration), in as many partitions as the session has cores, fewer where a task would
-    have less than ``LEAST_ROWS`` rows: empty tasks only add overhead to every iteration."""
+    have less than ``LEAST_ROWS`` rows: empty tasks only add overhead to every iteration.  What is persisted
+    keeps the session's shuffle partitions (adaptive coalescing shows in ``df.rdd`` only), so it is always coalesced."""
     if df.storageLevel.useMemory or df.storageLevel.useDisk:
         return df  # the caller's, persisted once for many fits
     n, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
     parts = max(1, min(cores, math.ceil(n / LEAST_ROWS)), math.ceil(n / ROWS_PER_PARTITION))
-    if parts < df.rdd.getNumPartitions():
-        df = df.coalesce(parts)
-    return df.persist()
+    return df.coalesce(parts).persist()
 
 
 def _fit(name: str, estimator, train: DataFrame, params: dict, pre=None) -> FittedModel:

@@ -156,3 +156,21 @@ def test_shapley_sampled_equals_its_definition(spark):
                 at[j] = r[j]
                 want[i, j] = want.get((i, j), 0.0) + (f(at) - before) / n_perm
     assert {(r.vec_id, r.feature): r.phi for r in got.collect()} == pytest.approx(want)
+
+
+def test_training_rows_are_persisted_in_few_partitions(spark):
+    """A join's 200 shuffle partitions stayed in the cache: 200 tasks a stage, 12 stages a tree."""
+    held = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "30")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = spark.range(3_500).withColumn("g", F.col("id") % 7)
+        rows = rows.join(rows.groupBy("g").agg(F.count("*").alias("n")), "g")
+        x = MD.training_input(rows)
+        tasks = x.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) <= 4 and x._jdf.queryExecution().toRdd().getNumPartitions() <= 4
+        assert sum(r["count"] for r in tasks) == 3_500
+        x.unpersist()
+    finally:
+        for name, value in held.items():
+            spark.conf.set(name, value)
