@@ -104,15 +104,16 @@ TRIAL_METRICS = ["auc", "accuracy", "f1_score", "precision", "recall", "mcc", "l
 
 
 def tune_gbt(train: DataFrame, val: DataFrame, width: int, label: str = "label", features: str = "features",
-             n_trials: int = N_TRIALS, seed: int = 42, batch: int | None = None, rows: int = boosting.SAMPLE_ROWS) -> DataFrame:
+             n_trials: int = N_TRIALS, seed: int = 42, batch: int | None = None) -> DataFrame:
     """The trial table with seven metrics on ``val``, ``fit_seconds`` and loss = 1 - AUC.
 
     Without ``batch`` all trials come from the hashed table and run in one job.  With it they run ``batch`` at
     a time, and every batch after the first is proposed by ``propose`` from those before.  Bins come from all
-    rows of ``train``; trials are fitted and compared on at most about ``rows`` rows of each table.
+    rows of ``train``; every trial is fitted on all of them and compared on all rows of ``val``, which are coded once.
     """
     spark = train.sparkSession
     edges = boosting.bin_edges(train, width, features)
+    coded = [boosting.coded_rows(t, edges, label, features) for t in (train, val)]
     step, done, out = batch or n_trials, 0, None
     while done < n_trials:
         size = min(step, n_trials - done)
@@ -122,7 +123,7 @@ def tune_gbt(train: DataFrame, val: DataFrame, width: int, label: str = "label",
             known = out.select("uniforms", F.coalesce("loss", F.lit(1.0)).alias("loss")).orderBy("trial").collect()  # the trials so far
             points = propose(np.array([r["uniforms"] for r in known]), np.array([r["loss"] for r in known]), size, seed + done)
             space = proposed_space(spark, points, done)
-        scored = cut_lineage(boosting.fit_trials(space, train, val, width, label, features, rows, edges, seed))
+        scored = boosting.fit_trials(space, train, val, width, label, features, edges, seed, coded)
         marked = scored.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
         found = M.evaluate(marked, "label", "prediction", "score", ["trial"]).select("trial", *TRIAL_METRICS)
         spent = scored.groupBy("trial").agg(F.first("fit_seconds").alias("fit_seconds"))

@@ -209,3 +209,43 @@ def test_a_level_holds_one_feature_at_a_time():
     _, most = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert len(forest.feature) > 50 and most < 6 * coded.nbytes
+
+
+def many(spark, n=120_000):
+    """(table of n rows, number of those with label 1): more rows than the 100,000 that trials and refits once sampled."""
+    df = spark.range(n, numPartitions=6).select(F.array(F.col("id").cast("double"), (F.col("id") % 7).cast("double")).alias("features"),
+                                                (F.col("id") % 10_000 < 2_501).cast("int").alias("label"))
+    return df, sum(i % 10_000 < 2_501 for i in range(n))
+
+
+def test_trials_learn_from_all_rows_and_score_all(spark):
+    """Trees without splits leave the score at the share of label 1, which a sample misses."""
+    df, ones = many(spark)
+    trials = tuning.search_space(spark, 2).withColumns({"n_trees": F.lit(1), "gamma": F.lit(1e9), "subsample": F.lit(1.0)})
+    rows = B.fit_trials(trials, df, df, 2)
+    got = rows.groupBy("trial").agg(F.count("*").alias("n"), F.sum("label").alias("ones"), F.min("score").alias("low"), F.max("score").alias("high"))
+    for r in got.collect():
+        assert (r.n, r.ones) == (120_000, ones) and [r.low, r.high] == pytest.approx([ones / 120_000] * 2, abs=1e-9)
+
+
+def test_every_trial_has_a_task(spark):
+    """A union of single partitions is one partition by default: one task fitted all trials."""
+    x, y, edges = made(200)
+    df = frame(spark, x, y)
+    trials = tuning.search_space(spark, 4).withColumn("n_trees", F.lit(2))
+    held = spark.conf.get(B.UNION)
+    rows = B.fit_trials(trials, df, df, 5, edges=edges)
+    found = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count_distinct("trial").alias("trials")).collect()
+    assert [r.trials for r in found] == [1] * 4 and spark.conf.get(B.UNION) == held
+
+
+def test_a_pass_by_chunks_grows_the_same_trees(monkeypatch):
+    x, y, edges = made(3_000)
+    p = PARAMS | {"n_trees": 4, "subsample": 0.7, "colsample": 0.6, "min_child": 20, "gamma": 2.0}
+    whole = B.boost(B.codes(x, edges), y, edges, p)
+    monkeypatch.setattr(B, "CHUNK", 500)
+    monkeypatch.setattr(B, "HELD_BYTES", 0)  # rows in files
+    monkeypatch.setattr(B, "TABLE_BYTES", 40_000)  # a few features a pass
+    parts = B.boost(B.codes(x, edges), y, edges, p)
+    assert len(whole.feature) > 12 and (whole.feature == parts.feature).all() and (whole.cut == parts.cut).all()
+    assert parts.value == pytest.approx(whole.value) and parts.cover == pytest.approx(whole.cover)
