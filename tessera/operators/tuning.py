@@ -140,7 +140,7 @@ def best_params(trials: DataFrame) -> dict:
 
 
 def refit_best(train: DataFrame, trials: DataFrame, width: int, label: str = "label", features: str = "features",
-               rows: int = boosting.SAMPLE_ROWS, seed: int = 42) -> boosting.Forest:
-    """The best trial's parameters, fitted again (on at most about ``rows`` rows)."""
+               seed: int = 42) -> boosting.Forest:
+    """The best trial's parameters, fitted again on all rows."""
     best = best_params(trials)
-    return boosting.fit_boosted(train, width, {p: float(best[p]) for p in PARAMS}, label, features, rows, seed=seed)
+    return boosting.fit_boosted(train, width, {p: float(best[p]) for p in PARAMS}, label, features, seed=seed)

@@ -249,3 +249,27 @@ def test_a_pass_by_chunks_grows_the_same_trees(monkeypatch):
     parts = B.boost(B.codes(x, edges), y, edges, p)
     assert len(whole.feature) > 12 and (whole.feature == parts.feature).all() and (whole.cut == parts.cut).all()
     assert parts.value == pytest.approx(whole.value) and parts.cover == pytest.approx(whole.cover)
+
+
+def test_refit_learns_from_all_rows(spark):
+    df, ones = many(spark)
+    trials = tuning.search_space(spark, 1).withColumns({"n_trees": F.lit(1), "max_depth": F.lit(2), "subsample": F.lit(1.0), "loss": F.lit(0.5)})
+    forest = tuning.refit_best(df, trials, 2)
+    share = ones / 120_000
+    assert forest.base == pytest.approx(math.log(share / (1 - share)), abs=1e-12) and forest.cover[0] == pytest.approx(120_000 * share * (1 - share))
+
+
+def test_packed_rows_come_back_whole(spark, monkeypatch):
+    """Equal rows travel once, with their number; a row without a label is left out."""
+    rng = np.random.default_rng(4)
+    x = np.concatenate((np.full((900, 3), 0.5), rng.normal(size=(300, 3)).round(1)))
+    y = rng.integers(0, 2, 1_200)
+    edges = np.tile(np.linspace(-2, 2, 63), (3, 1))
+    df = frame(spark, x, y).unionAll(spark.createDataFrame([([0.5] * 3, None)], "features array<double>, label int"))
+    monkeypatch.setattr(B, "CHUNK", 70)
+    monkeypatch.setattr(B, "BLOCK_BYTES", 12)
+    got, label = B.coded_sample(df, edges, "label", "features")
+    want = sorted((bytes(c), int(t)) for c, t in zip(B.codes(x, edges), y, strict=True))
+    assert [(bytes(c), int(t)) for c, t in zip(got, label, strict=True)] == want
+    held = B.coded_rows(df, edges, "label", "features")
+    assert held.rows == 1_200 and held.blocks.agg(F.sum(F.length("c"))).first()[0] < 3 * 400
